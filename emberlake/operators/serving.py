@@ -165,10 +165,9 @@ def event_date_bounds(events: DataFrame) -> DataFrame:
 
 
 def on_date(events: DataFrame, date=None) -> DataFrame:
-    """Events of one day; the newest day if none is named."""
-    if date is None:
-        date = event_date_bounds(events).first()["max_date"]
-    return events.where(F.to_date("event_timestamp") == F.lit(date))
+    """Events of one day; the newest day, found inside the same plan, if none is named."""
+    day = event_date_bounds(events).select("max_date").scalar() if date is None else F.lit(date)
+    return events.where(F.to_date("event_timestamp") == day)
 
 
 MAP_COLUMNS = ["latitude", "longitude", "frp", "brightness", "confidence", "event_timestamp"]

@@ -25,7 +25,7 @@ from emberlake.schemas import (
     ALERT_MESSAGE, ANOMALY_COLUMNS, ANOMALY_MESSAGE, CANONICAL_COLUMNS, FEATURE_COLUMNS, FIRE_EVENT, RAW_NRT,
     RISK_COLUMNS, RISK_MESSAGE,
 )
-from emberlake.session import new_work_dir, use_utc
+from emberlake.session import new_work_dir, store_once, use_utc
 from emberlake.sinks.models import write_anomaly_model
 from emberlake.sinks.streams import folder_per_batch
 from emberlake.sinks.tables import write_raw_sample, write_result_csv, write_text
@@ -78,13 +78,22 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.batch_features(curated(spark, sf_dir))
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitting and using a model both read the features, so the dedup behind them runs once."""
+    return store_once(feature_rows(spark, sf_dir), "features")
+
+
+def fit_anomaly(rows: DataFrame) -> anomaly.ZScoreModel:
+    return anomaly.fit(labels.in_years(rows, FIT_YEARS), years=tuple(FIT_YEARS), digits=STAT_DIGITS)
+
+
 def fitted(spark: SparkSession, sf_dir: str) -> anomaly.ZScoreModel:
-    known = labels.in_years(feature_rows(spark, sf_dir), FIT_YEARS)
-    return anomaly.fit(known, years=tuple(FIT_YEARS), digits=STAT_DIGITS)
+    return fit_anomaly(feature_rows(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.score(feature_rows(spark, sf_dir), fitted(spark, sf_dir))
+    rows = stored_features(spark, sf_dir)
+    return anomaly.score(rows, fit_anomaly(rows))
 
 
 def split_name() -> Column:
@@ -94,7 +103,7 @@ def split_name() -> Column:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labels.with_target(feature_rows(spark, sf_dir))
+    rows = labels.with_target(stored_features(spark, sf_dir))
     low, high = labels.risk_thresholds(labels.in_years(rows, FIXTURE_TRAIN), relative_error=0)
     return labels.risk_label(rows, low, high).withColumn("split", split_name())
 
@@ -110,12 +119,10 @@ def risk_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_risk(curated(spark, sf_dir)).select(*RISK_COLUMNS)
 
 
-def found_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.alerts(scored(spark, sf_dir))
-
-
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.merge_alerts(risk_predictions(spark, sf_dir), found_anomalies(spark, sf_dir))
+    rows = stored_features(spark, sf_dir)
+    found = anomaly.alerts(anomaly.score(rows, fit_anomaly(rows)))
+    return alerts.merge_alerts(rule_risk(rows).select(*RISK_COLUMNS), found)
 
 
 def served_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,11 +130,7 @@ def served_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_split(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Learners pass over their input many times, so it is written out first."""
-    base = new_work_dir(spark, "features")
-    feature_rows(spark, sf_dir).write.partitionBy("year").parquet(base)
-    stored = files.read_partitioned(spark, base)
-    return labels.time_split(stored, FIXTURE_TRAIN, FIXTURE_VALIDATION, FIXTURE_TEST)
+    return labels.time_split(stored_features(spark, sf_dir), FIXTURE_TRAIN, FIXTURE_VALIDATION, FIXTURE_TEST)
 
 
 # Cleaning, validation, dedup ----------------------------------------------------------------
@@ -255,7 +258,7 @@ def profile_totals(spark, sf_dir):
 
 # Anomalies ----------------------------------------------------------------------------------
 
-def model_rows(model: DataFrame, spark: SparkSession) -> DataFrame:
+def model_rows(model: DataFrame) -> DataFrame:
     """One row per feature from the one-row fit result."""
     each = [F.struct(F.lit(c).alias("feature"), F.round(f"{c}.mean", STAT_DIGITS).alias("mean"),
                      F.round(f"{c}.std", STAT_DIGITS).alias("std")) for c in anomaly.FEATURES]
@@ -265,7 +268,7 @@ def model_rows(model: DataFrame, spark: SparkSession) -> DataFrame:
 @query
 def zscore_fit(spark, sf_dir):
     known = labels.in_years(feature_rows(spark, sf_dir), FIT_YEARS)
-    return model_rows(anomaly.fit_statistics(known), spark)
+    return model_rows(anomaly.fit_statistics(known))
 
 
 @query
@@ -293,14 +296,14 @@ def anomaly_distribution(spark, sf_dir):
 
 @query
 def anomaly_alerts(spark, sf_dir):
-    return found_anomalies(spark, sf_dir)
+    return anomaly.alerts(scored(spark, sf_dir))
 
 
 # Risk labels and metrics --------------------------------------------------------------------
 
 @query
 def risk_thresholds(spark, sf_dir):
-    train = labels.in_years(feature_rows(spark, sf_dir), FIXTURE_TRAIN)
+    train = labels.in_years(stored_features(spark, sf_dir), FIXTURE_TRAIN)
     found = labels.risk_thresholds(labels.with_target(train), relative_error=0)
     return spark.createDataFrame([found], "low DOUBLE, high DOUBLE")
 

@@ -8,12 +8,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.operators import labels, learning, metrics
+from emberlake.operators import anomaly, labels, learning, metrics
 from emberlake.operators.cleaning import fill_for_learning
 from emberlake.operators.learning import Trained, TreeSettings
 from emberlake.operators.validation import require_rows
 from emberlake.session import ensure_checkpoints
-from emberlake.sinks.models import save_model
+from emberlake.sinks.models import save_model, write_anomaly_model
 from emberlake.sinks.tables import write_json
 
 # Names models are stored under.
@@ -136,3 +136,12 @@ def run(spark: SparkSession, features: DataFrame, models_dir: str, reports_dir:
     store(size, SIZE_MODELS, models_dir)
     write_report(spark, judged, best_size, f"{reports_dir}/fire_size_regressor", started)
     return {"risk": best_risk, "fire_size": best_size}
+
+
+def run_anomaly(spark: SparkSession, features: DataFrame, years: list[int], path: str) -> DataFrame:
+    """Fit the z-score model on the given years, store its document, and return how it judges them."""
+    started = time.monotonic()
+    known = labels.in_years(features, years)
+    model = anomaly.fit(known, years=tuple(years))
+    write_anomaly_model(spark, model, path, time.monotonic() - started)
+    return anomaly.distribution(anomaly.score(known, model))

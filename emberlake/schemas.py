@@ -1,10 +1,15 @@
 """Column contracts. Every production read uses one of these; nothing is inferred."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampType,
+)
+
+_TYPES = {"DOUBLE": DoubleType(), "INT": IntegerType(), "STRING": StringType(), "TIMESTAMP": TimestampType()}
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(columns: str) -> StructType:
+    """``name TYPE, ...`` without needing a running session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (c.split() for c in columns.split(","))])
 
 
 MEASUREMENTS = ["latitude", "longitude", "brightness", "scan", "track", "bright_t31", "frp"]
@@ -50,11 +55,17 @@ ALERT_MESSAGE = _schema(
 )
 ACTION_EVENT = _schema("user_id INT, action STRING, ts STRING")
 
-ANOMALY_MODEL = _schema(
-    "model_type STRING, features ARRAY<STRING>, threshold DOUBLE,"
-    " statistics MAP<STRING, STRUCT<mean: DOUBLE, std: DOUBLE>>,"
-    " training_years ARRAY<INT>, training_rows BIGINT, generated_at STRING, duration_seconds DOUBLE"
-)
+_STATISTICS = MapType(StringType(), _schema("mean DOUBLE, std DOUBLE"))
+ANOMALY_MODEL = StructType([
+    StructField("model_type", StringType()),
+    StructField("features", ArrayType(StringType())),
+    StructField("threshold", DoubleType()),
+    StructField("statistics", _STATISTICS),
+    StructField("training_years", ArrayType(IntegerType())),
+    StructField("training_rows", LongType()),
+    StructField("generated_at", StringType()),
+    StructField("duration_seconds", DoubleType()),
+])
 
 CANONICAL_COLUMNS = CANONICAL.names
 FEATURE_COLUMNS = FEATURES.names

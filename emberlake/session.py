@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,6 +54,16 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def store_once(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result that several jobs read, and hand back the stored copy.
+
+    Unlike a cache it outlives lost executors, and later jobs read only the columns they need.
+    """
+    path = new_work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Let iterative learners cut lineage in shared storage."""
     if spark.sparkContext.getCheckpointDir() is None:
