@@ -58,5 +58,10 @@ def to_messages(df: DataFrame) -> DataFrame:
 
 
 def from_messages(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Decode and flatten; a malformed document becomes a row of NULLs."""
-    return df.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).select("m.*")
+    """Decode and flatten; a malformed document becomes a row of NULLs.
+
+    Going through ``inline`` makes sure each document is parsed once: a filter
+    on its fields would otherwise be moved below and parse again per field.
+    """
+    document = F.from_json(F.col(value).cast("string"), schema)
+    return df.select(F.inline(F.array(document)))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+CATEGORICAL = ("confidence", "daynight", "season", "type")
+NUMERIC = ("latitude", "longitude", "brightness", "bright_t31", "scan", "track", "month", "day", "hour", "day_of_week",
+           "day_of_year", "is_weekend", "is_night", "latitude_bucket", "longitude_bucket")
+
 # Stages as common table expressions, each naming the ones it builds on.
 STAGES: dict[str, tuple[tuple[str, ...], str]] = {
     "fire": ((), """
@@ -122,6 +126,17 @@ STAGES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT * FROM risky UNION ALL
         SELECT event_timestamp, latitude, longitude, frp, anomaly_score, NULL, alert_level, alert_level,
                'anomaly_detection', alert_reason, 'WILDFIRE ALERT: ' || alert_reason FROM found"""),
+    "learning": (("labelled",), """
+        SELECT * REPLACE (
+            COALESCE(CAST(type AS VARCHAR), 'unknown') AS type, COALESCE(confidence, 'unknown') AS confidence,
+            COALESCE(brightness, 0) AS brightness, COALESCE(bright_t31, 0) AS bright_t31,
+            COALESCE(scan, 0) AS scan, COALESCE(track, 0) AS track) FROM labelled"""),
+    "categories": (("learning",), " UNION ALL ".join(f"""
+        SELECT '{c}' AS column_name, {c} AS value,
+               CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) - 1 AS INTEGER) AS index
+        FROM learning WHERE split = 'train' GROUP BY {c}""" for c in CATEGORICAL)),
+    "sizes": (("categories",), "SELECT " + ", ".join(
+        f"COUNT(*) FILTER (WHERE column_name = '{c}') + 1 AS {c}_size" for c in CATEGORICAL) + " FROM categories"),
     "events_served": (("feats",), """
         SELECT event_timestamp, latitude, longitude, brightness, bright_t31, scan, track, frp, confidence, daynight,
                satellite, instrument, version, type, year, season, is_night
@@ -306,6 +321,23 @@ _FINAL: dict[str, tuple[str, str]] = {
             COALESCE(daynight, 'unknown') AS daynight, COALESCE(season, 'unknown') AS season,
             COALESCE(brightness, 0) AS brightness, COALESCE(bright_t31, 0) AS bright_t31,
             COALESCE(scan, 0) AS scan, COALESCE(track, 0) AS track) FROM feats)"""),
+    "split_counts": ("labelled", "SELECT split, COUNT(*) AS row_count FROM labelled GROUP BY split"),
+    "label_index": ("labelled", """
+        SELECT CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, risk_level) - 1 AS INTEGER) AS index, risk_level
+        FROM labelled WHERE split = 'train' GROUP BY risk_level"""),
+    "category_index": ("categories", "SELECT * FROM categories"),
+    "feature_vectors": ("learning sizes", """
+        SELECT event_timestamp, latitude, longitude,
+               CAST(15 + confidence_size + daynight_size + season_size + type_size AS INTEGER) AS vector_size,
+               round(""" + " + ".join(f"{c} * {i}e0" for i, c in enumerate(NUMERIC, 1)) + """
+                     + 16 + COALESCE(c.index, confidence_size - 1)
+                     + 16 + confidence_size + COALESCE(d.index, daynight_size - 1)
+                     + 16 + confidence_size + daynight_size + COALESCE(s.index, season_size - 1)
+                     + 16 + confidence_size + daynight_size + season_size + COALESCE(t.index, type_size - 1),
+                     6) AS weighted_sum
+        FROM learning CROSS JOIN sizes """ + " ".join(
+        f"LEFT JOIN categories {c[0]} ON {c[0]}.column_name = '{c}' AND {c[0]}.value = learning.{c}"
+        for c in CATEGORICAL)),
     "confusion_matrix": ("judged", """
         SELECT split, label, prediction, COUNT(*) AS "count" FROM judged GROUP BY split, label, prediction"""),
     "classifier_metrics": ("judged", """

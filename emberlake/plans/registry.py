@@ -11,6 +11,7 @@ import functools
 import time
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -27,12 +28,12 @@ from emberlake.schemas import (
 )
 from emberlake.session import new_work_dir, store_once, use_utc
 from emberlake.sinks.models import write_anomaly_model
-from emberlake.sinks.streams import folder_per_batch
+from emberlake.sinks.streams import batch_sink, folder_per_batch
 from emberlake.sinks.tables import write_raw_sample, write_result_csv, write_text
 from emberlake.sources import files
 from emberlake.sources.streams import Topic, read_messages, read_messages_once
 from emberlake.sources.tables import (
-    FIXTURE_TEST, FIXTURE_TRAIN, FIXTURE_VALIDATION, environment_view, fire, fire_view, table, table_stream,
+    FIXTURE_TEST, FIXTURE_TRAIN, FIXTURE_VALIDATION, environment_view, fire, fire_view, table,
 )
 from emberlake.streaming import flows
 from emberlake.streaming.run import drain
@@ -129,6 +130,11 @@ def served_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.event_rows(curated(spark, sf_dir))
 
 
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For questions that look at the serving table twice."""
+    return store_once(served_events(spark, sf_dir), "events")
+
+
 def stored_split(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return labels.time_split(stored_features(spark, sf_dir), FIXTURE_TRAIN, FIXTURE_VALIDATION, FIXTURE_TEST)
 
@@ -345,32 +351,69 @@ def regressor_metrics(spark, sf_dir):
     return metrics.regressor_metrics(rows.withColumn("prediction", guess), by=("split",))
 
 
-def trained_risk(spark, sf_dir, *models):
-    return training.train_risk(spark, stored_split(spark, sf_dir), QUICK_TREES, models)
+def learning_split(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return training.prepare(stored_split(spark, sf_dir))
+
+
+@query
+def split_counts(spark, sf_dir):
+    rows = learning_split(spark, sf_dir)
+    named = [df.select(F.lit(name).alias("split"), "season") for name, df in rows.items()]
+    return functools.reduce(DataFrame.unionByName, named).groupBy("split").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def label_index(spark, sf_dir):
+    """Label order as fitted on the training rows: most frequent first."""
+    train = learning_split(spark, sf_dir)["train"]
+    low, high = labels.risk_thresholds(train, relative_error=0)
+    fitted_index = learning.label_indexer().fit(labels.risk_label(train, low, high))
+    return spark.createDataFrame(list(enumerate(fitted_index.labels)), "index INT, risk_level STRING")
 
 
-def trained_size(spark, sf_dir, *models):
-    return training.train_size(spark, stored_split(spark, sf_dir), QUICK_TREES, models)
+@query
+def category_index(spark, sf_dir):
+    """Category order of every indexed column, from the same fit."""
+    stages = learning.fit_features(learning_split(spark, sf_dir)["train"]).stages
+    rows = [(c, v, i) for c, values in zip(learning.CATEGORICAL, stages[0].labelsArray) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "column_name STRING, value STRING, index INT")
+
+
+@query
+def feature_vectors(spark, sf_dir):
+    """Assembled vectors of all splits, as length and position-weighted sum."""
+    rows = learning_split(spark, sf_dir)
+    fitted_features = learning.fit_features(rows["train"])
+    vectors = fitted_features.transform(functools.reduce(DataFrame.unionByName, rows.values()))
+    values = vector_to_array("features")
+    weighted = F.aggregate(F.transform(values, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, b: a + b)
+    return vectors.select("event_timestamp", "latitude", "longitude", F.size(values).alias("vector_size"),
+                          F.round(weighted, 6).alias("weighted_sum"))
 
 
 @query
 def train_risk_rf(spark, sf_dir):
-    return training.metric_rows(spark, trained_risk(spark, sf_dir, "forest")[1])
+    """The four trainings use the default model sizes."""
+    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=("forest",))
+    return training.metric_rows(spark, judged)
 
 
 @query
 def train_risk_gbt_ovr(spark, sf_dir):
-    return training.metric_rows(spark, trained_risk(spark, sf_dir, "gbt")[1])
+    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=("gbt",))
+    return training.metric_rows(spark, judged)
 
 
 @query
 def train_frp_rf(spark, sf_dir):
-    return training.metric_rows(spark, trained_size(spark, sf_dir, "forest")[1])
+    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=("forest",))
+    return training.metric_rows(spark, judged)
 
 
 @query
 def train_frp_gbt(spark, sf_dir):
-    return training.metric_rows(spark, trained_size(spark, sf_dir, "gbt")[1])
+    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=("gbt",))
+    return training.metric_rows(spark, judged)
 
 
 @query
@@ -423,14 +466,20 @@ def fire_messages(lineitem: DataFrame) -> DataFrame:
     return alerts.to_messages(cleaned.select(*FIRE_EVENT.names))
 
 
-def live_fire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fire_messages(table_stream(spark, sf_dir, "lineitem"))
+def publish(messages: DataFrame, location: str) -> Topic:
+    """Messages as a topic folder, for the streams to read as they would a broker's topic."""
+    messages.write.text(location)
+    return Topic(location, format="text")
+
+
+def live_fire(spark: SparkSession, sf_dir: str, base: str) -> Topic:
+    return publish(fire_messages(table(spark, sf_dir, "lineitem")), f"{base}/fire")
 
 
 @query
 def stream_fire_ingest(spark, sf_dir):
     base = new_work_dir(spark, "fire-ingest")
-    rows = live_fire(spark, sf_dir)
+    rows = read_messages(spark, live_fire(spark, sf_dir, base))
     drain(flows.fire_ingest(rows, f"{base}/out", f"{base}/checkpoint"))
     return spark.read.schema(flows.fire_rows(rows).schema).parquet(f"{base}/out")
 
@@ -438,7 +487,8 @@ def stream_fire_ingest(spark, sf_dir):
 @query
 def stream_env_ingest(spark, sf_dir):
     base = new_work_dir(spark, "environment-ingest")
-    rows = alerts.to_messages(environment_view(table_stream(spark, sf_dir, "events")))
+    telemetry = alerts.to_messages(environment_view(table(spark, sf_dir, "events")))
+    rows = read_messages(spark, publish(telemetry, f"{base}/environment"))
     drain(flows.environment_ingest(rows, f"{base}/out", f"{base}/checkpoint"))
     return spark.read.schema(flows.environment_rows(rows).schema).parquet(f"{base}/out")
 
@@ -446,8 +496,9 @@ def stream_env_ingest(spark, sf_dir):
 @query
 def stream_anomaly(spark, sf_dir):
     base = new_work_dir(spark, "anomaly-stream")
+    rows = read_messages(spark, live_fire(spark, sf_dir, base))
     out = Topic(f"{base}/anomalies", format="text")
-    drain(flows.anomaly_detection(live_fire(spark, sf_dir), fitted(spark, sf_dir), out, f"{base}/checkpoint"))
+    drain(flows.anomaly_detection(rows, fitted(spark, sf_dir), out, f"{base}/checkpoint"))
     return alerts.from_messages(read_messages_once(spark, out), ANOMALY_MESSAGE).select(*ANOMALY_COLUMNS)
 
 
@@ -460,8 +511,8 @@ def stream_risk(spark, sf_dir):
     def scorer(events: DataFrame) -> DataFrame:
         return learning.score_risk(cleaning.fill_for_learning(features.batch_features(events)), trained)
 
-    out = Topic(f"{base}/predictions", format="text")
-    drain(flows.risk_inference(live_fire(spark, sf_dir), scorer, out.location, f"{base}/checkpoint"))
+    rows, out = read_messages(spark, live_fire(spark, sf_dir, base)), Topic(f"{base}/predictions", format="text")
+    drain(flows.risk_inference(rows, scorer, out.location, f"{base}/checkpoint"))
     return alerts.from_messages(read_messages_once(spark, out), RISK_MESSAGE)
 
 
@@ -470,11 +521,11 @@ def stream_alerts(spark, sf_dir):
     """Risk and anomaly streams into their topics, then both topics into one alert feed."""
     base = new_work_dir(spark, "alert-stream")
     risk, anomalies, out = (Topic(f"{base}/{n}", format="text") for n in ("risk", "anomalies", "alerts"))
+    fire_topic, model = live_fire(spark, sf_dir, base), fitted(spark, sf_dir)
     drain(
-        flows.risk_inference(live_fire(spark, sf_dir), lambda e: rule_risk(e).select(*RISK_COLUMNS),
+        flows.risk_inference(read_messages(spark, fire_topic), lambda e: rule_risk(e).select(*RISK_COLUMNS),
                              risk.location, f"{base}/checkpoint-risk"),
-        flows.anomaly_detection(live_fire(spark, sf_dir), fitted(spark, sf_dir), anomalies,
-                                f"{base}/checkpoint-anomalies"),
+        flows.anomaly_detection(read_messages(spark, fire_topic), model, anomalies, f"{base}/checkpoint-anomalies"),
     )
     drain(flows.alert_generation(read_messages(spark, risk), read_messages(spark, anomalies), out,
                                  f"{base}/checkpoint-alerts"))
@@ -485,9 +536,8 @@ def stream_alerts(spark, sf_dir):
 def stream_batch_tables(spark, sf_dir):
     """Per-micro-batch table writes: each batch to its own replaceable folder."""
     base = new_work_dir(spark, "batch-tables")
-    rows = live_fire(spark, sf_dir)
     write = folder_per_batch(f"{base}/out", flows.fire_rows)
-    drain(flows.risk_inference(rows, lambda df: df, base, f"{base}/checkpoint", save=write))
+    drain(batch_sink(read_messages(spark, live_fire(spark, sf_dir, base)), write, f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
@@ -543,13 +593,13 @@ def event_date_bounds(spark, sf_dir):
 
 @query
 def map_points(spark, sf_dir):
-    return serving.map_points(serving.on_date(served_events(spark, sf_dir)))
+    return serving.map_points(serving.on_date(stored_events(spark, sf_dir)))
 
 
 @query
 def recent_table(spark, sf_dir):
     """The board's order of steps: newest events first, then the newest day among them."""
-    return serving.recent_table(serving.on_date(serving.recent_events(served_events(spark, sf_dir))))
+    return serving.recent_table(serving.on_date(serving.recent_events(stored_events(spark, sf_dir))))
 
 
 @query
@@ -607,7 +657,7 @@ def history_features(spark, sf_dir):
 def raw_sample(spark, sf_dir):
     path = new_work_dir(spark, "raw-sample")
     write_raw_sample(raw(spark, sf_dir).drop("source_year"), path)
-    return files.read_csv(spark, [path], FIRE_EVENT).agg(F.count(F.lit(1)).alias("sample_rows"))
+    return files.read_csv(spark, path, FIRE_EVENT).agg(F.count(F.lit(1)).alias("sample_rows"))
 
 
 @query

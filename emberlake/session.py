@@ -42,11 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = os.path.join(tempfile.gettempdir(), "emberlake")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return os.path.join(tempfile.gettempdir(), f"emberlake-{context.applicationId}")
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:

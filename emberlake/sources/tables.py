@@ -1,7 +1,6 @@
 """Detection- and telemetry-shaped views of the provided test tables.
 
-Column expressions only, so the same view works on a static read and on a
-stream over the same files.
+Column expressions only, so nothing is materialised before a query asks for it.
 """
 
 from __future__ import annotations
@@ -55,15 +54,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The same table as a file stream. The one-letter glob lets the path be a file or a folder."""
-    schema = table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
-
-
 def _view(df: DataFrame, columns: dict[str, str], *extra: str) -> DataFrame:
     return df.selectExpr(*extra, *[f"{sql} AS {name}" for name, sql in columns.items()])
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from emberlake.plans import history, profiles
 from emberlake.schemas import CANONICAL, FEATURE_COLUMNS, RAW_ARCHIVE, RAW_NRT
 from emberlake.sinks import tables
@@ -33,6 +34,13 @@ def test_products_are_routed_by_file_name(spark, data_dir):
     assert sum(r.brightness is None for r in rows) == 1
 
 
+def test_other_products_files_are_never_opened(spark, data_dir):
+    plan = plan_of(files.read_year(spark, data_dir, 2026))
+    assert plan.count("FileScan csv") == 2
+    assert files.read_year(spark, data_dir, 2026).select("frp").count() == 3
+    assert plan_of(files.read_year(spark, data_dir, 2024)).count("FileScan csv") == 1
+
+
 def test_missing_inputs(spark, data_dir, tmp_path):
     with pytest.raises(FileNotFoundError, match="no such year folder"):
         files.read_year(spark, data_dir, 1999)
@@ -139,6 +147,14 @@ def test_missing_partitions_give_no_rows(spark, tmp_path):
     assert files.missing_years(read, [2025, 2030]) == [2030]
 
 
+def test_glob_over_year_folders(spark, tmp_path):
+    base = str(tmp_path / "t")
+    stamps = spark.sql("SELECT timestamp_seconds(id * 40000000) AS event_timestamp FROM range(40, 46)")
+    tables.write_years(stamps.withColumn("year", F.year("event_timestamp")), base)
+    read = files.read_partitioned(spark, f"{base}/year=*", [2021])
+    assert [r.year for r in read.collect()] == [2021]
+
+
 def test_year_is_derived_when_not_stored(spark, tmp_path):
     base = str(tmp_path / "flat")
     spark.sql("SELECT TIMESTAMP '2024-05-06 07:08:00' AS event_timestamp").write.parquet(base)
