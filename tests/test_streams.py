@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from emberlake.operators import alerts, anomaly, features
 from emberlake.plans import live
 from emberlake.plans.registry import fire_messages, rule_risk
@@ -57,6 +58,17 @@ def test_bad_messages_do_not_reach_storage(spark, tmp_path):
     assert (kept.month, kept.day, kept.hour, kept.is_night, kept.latitude_bucket) == (6, 1, 12, 0, 37.8)
 
 
+@pytest.mark.parametrize("value", [None, "", "{broken", "[1]"])
+def test_unreadable_messages_become_empty_rows(spark, value):
+    got = alerts.from_messages(spark.createDataFrame([(value,)], "value STRING"), FIRE_EVENT).collect()
+    assert [set(r) for r in got] == [{None}]
+
+
+def test_each_message_is_parsed_once(spark, tmp_path):
+    plan = plan_of(flows.fire_rows(read_messages_once(spark, folder(tmp_path / "in", FIRE))))
+    assert plan.count("from_json") == 1
+
+
 def test_environment_stream(spark, tmp_path):
     topic = folder(tmp_path / "in", TELEMETRY, {**TELEMETRY, "timestamp": "yesterday"})
     run.drain(flows.environment_ingest(read_messages(spark, topic), str(tmp_path / "out"), str(tmp_path / "c")))
