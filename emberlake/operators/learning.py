@@ -25,7 +25,7 @@ TARGET = "frp"
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Fixed default sizes; smaller ones make quick checks."""
+    """The default sizes. Smaller ones make quick checks."""
 
     forest_trees: int = 100
     forest_depth: int = 8

@@ -11,6 +11,7 @@ from emberlake.functions.temporal import season
 from emberlake.operators.dedup import drop_duplicate_events
 from emberlake.schemas import SERVING_EVENT_COLUMNS, SERVING_KEY
 
+# List lengths and model versions.
 ACTIVE_ALERTS = 500
 RECENT_EVENTS = 10_000
 RISK_MODEL_VERSION = "risk_classifier_v1"
@@ -142,6 +143,7 @@ def anomaly_summary(anomalies: DataFrame) -> DataFrame:
     return daily.orderBy(F.col("event_date").desc())
 
 
+# Columns the board shows.
 ALERT_BOARD = [
     "alert_id", "event_timestamp", "latitude", "longitude", "frp", "anomaly_score", "risk_level",
     "alert_level", "alert_source", "alert_reason", "alert_message", "created_at",
@@ -170,6 +172,7 @@ def on_date(events: DataFrame, date=None) -> DataFrame:
     return events.where(F.to_date("event_timestamp") == day)
 
 
+# Columns of the map and of the event table.
 MAP_COLUMNS = ["latitude", "longitude", "frp", "brightness", "confidence", "event_timestamp"]
 TABLE_COLUMNS = [
     "event_timestamp", "latitude", "longitude", "frp", "brightness", "confidence", "daynight", "satellite",

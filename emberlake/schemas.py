@@ -12,6 +12,7 @@ def _schema(columns: str) -> StructType:
     return StructType([StructField(n, _TYPES[t]) for n, t in (c.split() for c in columns.split(","))])
 
 
+# Column names, order and types of files, messages and tables.
 MEASUREMENTS = ["latitude", "longitude", "brightness", "scan", "track", "bright_t31", "frp"]
 LABELS = ["satellite", "instrument", "confidence", "daynight", "version", "acq_date"]
 NATURAL_KEY = ["latitude", "longitude", "acq_date", "acq_time"]
