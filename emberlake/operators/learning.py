@@ -22,6 +22,11 @@ CATEGORICAL = ["confidence", "daynight", "season", "type"]
 LABEL = "risk_level"
 TARGET = "frp"
 
+# Model names in reports.
+FOREST = "random_forest"
+RISK_BOOSTED = "gbt_one_vs_rest"
+SIZE_BOOSTED = "gbt"
+
 
 @dataclass(frozen=True)
 class TreeSettings:
@@ -106,24 +111,26 @@ def intensity_boosted(settings: TreeSettings = TreeSettings()) -> GBTRegressor:
 
 @dataclass
 class Trained:
-    """Fitted feature stages, the models by name, and what was learnt about the labels."""
+    """Fitted feature stages, the models by name, and what was learnt about rows and labels."""
 
     features: PipelineModel
     models: dict = field(default_factory=dict)
     thresholds: tuple[float, float] | None = None
+    rows: dict[str, int] = field(default_factory=dict)
+    classes: dict[str, dict[str, int]] = field(default_factory=dict)
 
     @property
     def levels(self) -> list[str]:
         return risk_levels(self.features)
 
 
-def score_risk(df: DataFrame, trained: Trained, model: str = "gbt") -> DataFrame:
+def score_risk(df: DataFrame, trained: Trained, model: str = RISK_BOOSTED) -> DataFrame:
     """Filled feature rows to risk messages."""
     scored = trained.models[model].transform(scoring_features(trained.features).transform(df))
     return name_level(scored, trained.levels).select(*RISK_COLUMNS)
 
 
-def score_fire_size(df: DataFrame, trained: Trained, model: str = "gbt") -> DataFrame:
+def score_fire_size(df: DataFrame, trained: Trained, model: str = SIZE_BOOSTED) -> DataFrame:
     """Feature rows to predicted intensity, in serving-table shape."""
     scored = trained.models[model].transform(trained.features.transform(df))
     return scored.select("event_timestamp", "latitude", "longitude", F.col("prediction").alias("predicted_frp"))

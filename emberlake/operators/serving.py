@@ -77,7 +77,7 @@ def _fits(table: str) -> Column:
 
 
 def conforming_rows(df: DataFrame, table: str, created_at: Column | None = None) -> DataFrame:
-    """Rows the serving table accepts, typed, with a key-derived id and load time."""
+    """Rows the serving table accepts, typed, with a content-derived id and load time."""
     typed = _typed(table, df).where(_fits(table))
     small = {c: F.col(c).cast("smallint") for c, kind in TABLES[table].items() if kind == "smallint"}
     columns = list(TABLES[table])
@@ -88,6 +88,11 @@ def conforming_rows(df: DataFrame, table: str, created_at: Column | None = None)
     )
 
 
+def store_rows(df: DataFrame, table: str) -> DataFrame:
+    """Conforming rows without id and load time, which a relational store fills in itself."""
+    return conforming_rows(df, table).drop(IDS[table], "created_at")
+
+
 def rejected_rows(df: DataFrame, table: str) -> DataFrame:
     """The other side of :func:`conforming_rows`, so nothing is lost without a trace."""
     return _typed(table, df).where(~_fits(table))

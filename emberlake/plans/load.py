@@ -25,6 +25,6 @@ def load_events(spark: SparkSession, curated: str, years: list[int], store: Stor
     rows = require_rows(read_partitioned(spark, curated, years), f"{curated} for {years}")
     for year in missing_years(rows, years):
         log.warning("no rows for %s in %s", year, curated)
-    accepted = serving.conforming_rows(serving.event_rows(rows), "fire_events").drop("event_id", "created_at")
+    accepted = serving.store_rows(serving.event_rows(rows), "fire_events")
     save(accepted, store, "fire_events", mode)
     return accepted

@@ -394,25 +394,25 @@ def feature_vectors(spark, sf_dir):
 @query
 def train_risk_rf(spark, sf_dir):
     """The four trainings use the default model sizes."""
-    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=("forest",))
+    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.FOREST,))
     return training.metric_rows(spark, judged)
 
 
 @query
 def train_risk_gbt_ovr(spark, sf_dir):
-    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=("gbt",))
+    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.RISK_BOOSTED,))
     return training.metric_rows(spark, judged)
 
 
 @query
 def train_frp_rf(spark, sf_dir):
-    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=("forest",))
+    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=(learning.FOREST,))
     return training.metric_rows(spark, judged)
 
 
 @query
 def train_frp_gbt(spark, sf_dir):
-    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=("gbt",))
+    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=(learning.SIZE_BOOSTED,))
     return training.metric_rows(spark, judged)
 
 
@@ -429,14 +429,14 @@ def select_best(spark, sf_dir):
 @query
 def score_risk(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    trained, _ = training.train_risk(spark, split, QUICK_TREES, ("gbt",))
+    trained, _ = training.train_risk(spark, split, QUICK_TREES, (learning.RISK_BOOSTED,))
     return learning.score_risk(cleaning.fill_for_learning(split["test"]), trained)
 
 
 @query
 def score_fire_size(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    trained, _ = training.train_size(spark, split, QUICK_TREES, ("gbt",))
+    trained, _ = training.train_size(spark, split, QUICK_TREES, (learning.SIZE_BOOSTED,))
     predicted = learning.score_fire_size(cleaning.fill_for_learning(split["test"]), trained)
     return serving.conforming_rows(predicted, "fire_size_predictions")
 
@@ -506,7 +506,7 @@ def stream_anomaly(spark, sf_dir):
 def stream_risk(spark, sf_dir):
     """Train, then score the live feed with the boosted one-vs-rest model."""
     base = new_work_dir(spark, "risk-stream")
-    trained, _ = training.train_risk(spark, stored_split(spark, sf_dir), QUICK_TREES, ("gbt",))
+    trained, _ = training.train_risk(spark, stored_split(spark, sf_dir), QUICK_TREES, (learning.RISK_BOOSTED,))
 
     def scorer(events: DataFrame) -> DataFrame:
         return learning.score_risk(cleaning.fill_for_learning(features.batch_features(events)), trained)

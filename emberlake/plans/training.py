@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,19 +11,24 @@ from pyspark.sql import functions as F
 
 from emberlake.operators import anomaly, labels, learning, metrics
 from emberlake.operators.cleaning import fill_for_learning
-from emberlake.operators.learning import Trained, TreeSettings
+from emberlake.operators.learning import FOREST, RISK_BOOSTED, SIZE_BOOSTED, Trained, TreeSettings
 from emberlake.operators.validation import require_rows
 from emberlake.session import ensure_checkpoints
 from emberlake.sinks.models import save_model, write_anomaly_model
-from emberlake.sinks.tables import write_json
+from emberlake.sinks.tables import write_document
 
 # Names models are stored under.
-RISK_MODELS = {"features": "risk_feature_pipeline", "forest": "risk_classifier_rf", "gbt": "risk_classifier_gbt"}
+RISK_MODELS = {
+    "features": "risk_feature_pipeline", FOREST: "risk_classifier_rf", RISK_BOOSTED: "risk_classifier_gbt",
+}
 SIZE_MODELS = {
-    "features": "fire_size_feature_pipeline", "forest": "fire_size_regressor_rf", "gbt": "fire_size_regressor_gbt",
+    "features": "fire_size_feature_pipeline", FOREST: "fire_size_regressor_rf", SIZE_BOOSTED: "fire_size_regressor_gbt",
 }
 
 Split = dict[str, DataFrame]
+Years = dict[str, list[int]]
+Judgement = dict[str, dict]
+JUDGED = ("validation", "test")
 
 
 def prepare(split: Split) -> Split:
@@ -47,56 +53,91 @@ def _release(split: Split) -> None:
 
 def _predictions(model, assembled: Split, *keep: str) -> DataFrame:
     """Validation and test predictions together, so that one pass judges both."""
-    judged = [model.transform(assembled[s]).select(F.lit(s).alias("split"), "prediction", *keep)
-              for s in ("validation", "test")]
-    return judged[0].unionByName(judged[1])
+    return _stacked({s: model.transform(assembled[s]) for s in JUDGED}, "prediction", *keep)
+
+
+def _stacked(split: Split, *columns: str) -> DataFrame:
+    named = [df.select(F.lit(name).alias("split"), *columns) for name, df in split.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def judge_classes(predictions: DataFrame) -> Judgement:
+    """One pass for the confusion counts; every figure follows from that handful of rows."""
+    counted = metrics.confusion_matrix(predictions, by=("split",))
+    cells = counted.collect()
+    small = predictions.sparkSession.createDataFrame(cells, counted.schema)
+    judged = {r.split: r.asDict() for r in metrics.metrics_from_counts(small, by=("split",)).collect()}
+    for name, figures in judged.items():
+        del figures["split"]
+        rows = [c for c in cells if c.split == name]
+        figures["confusion_matrix"] = {
+            str(actual): {str(c.prediction): c["count"] for c in rows if c.label == actual}
+            for actual in sorted({c.label for c in rows})
+        }
+    return judged
+
+
+def judge_values(predictions: DataFrame) -> Judgement:
+    rows = metrics.regressor_metrics(predictions, by=("split",)).collect()
+    return {r.split: {name: r[name] for name in ("rmse", "mae", "r2")} for r in rows}
+
+
+def class_counts(labelled: Split) -> dict[str, dict[str, int]]:
+    rows = labels.label_distribution(_stacked(labelled, "risk_level"), by=("split",)).collect()
+    return {name: {r.risk_level: r["count"] for r in rows if r.split == name} for name in labelled}
+
+
+def row_counts(split: Split) -> dict[str, int]:
+    rows = _stacked(split, learning.TARGET).groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {name: sum(r.n for r in rows if r.split == name) for name in split}
 
 
 def train_risk(spark: SparkSession, split: Split, settings: TreeSettings = TreeSettings(),
-               models: tuple[str, ...] = ("forest", "gbt"), relative_error: float = 0.001,
-               ) -> tuple[Trained, dict[str, list]]:
-    """Labels from training quantiles, then the chosen classifiers. Returns metric rows per model."""
+               models: tuple[str, ...] = (FOREST, RISK_BOOSTED), relative_error: float = 0.001,
+               ) -> tuple[Trained, dict[str, Judgement]]:
+    """Labels from training quantiles, then the chosen classifiers, judged on validation and test rows."""
     ensure_checkpoints(spark)
     ready = prepare(split)
     low, high = labels.risk_thresholds(ready["train"], relative_error=relative_error)
     labelled = {name: labels.risk_label(df, low, high) for name, df in ready.items()}
     features = learning.fit_risk_features(labelled["train"])
-    assembled = _assembled(features, labelled, "label")
-    learners = {"forest": learning.risk_forest, "gbt": learning.risk_boosted}
+    assembled = _assembled(features, labelled, "label", "risk_level")
+    learners = {FOREST: learning.risk_forest, RISK_BOOSTED: learning.risk_boosted}
     trained, judged = Trained(features, {}, (low, high)), {}
     for name in models:
         trained.models[name] = learners[name](settings).fit(assembled["train"])
-        predictions = _predictions(trained.models[name], assembled, "label")
-        judged[name] = metrics.classifier_metrics(predictions, by=("split",)).collect()
+        judged[name] = judge_classes(_predictions(trained.models[name], assembled, "label"))
+    trained.classes = class_counts(assembled)
+    trained.rows = {name: sum(counts.values()) for name, counts in trained.classes.items()}
     _release(assembled)
     return trained, judged
 
 
 def train_size(spark: SparkSession, split: Split, settings: TreeSettings = TreeSettings(),
-               models: tuple[str, ...] = ("forest", "gbt")) -> tuple[Trained, dict[str, list]]:
+               models: tuple[str, ...] = (FOREST, SIZE_BOOSTED)) -> tuple[Trained, dict[str, Judgement]]:
     ensure_checkpoints(spark)
     ready = prepare(split)
     features = learning.fit_features(ready["train"])
     assembled = _assembled(features, ready, learning.TARGET)
-    learners = {"forest": learning.intensity_forest, "gbt": learning.intensity_boosted}
+    learners = {FOREST: learning.intensity_forest, SIZE_BOOSTED: learning.intensity_boosted}
     trained, judged = Trained(features), {}
     for name in models:
         trained.models[name] = learners[name](settings).fit(assembled["train"])
-        predictions = _predictions(trained.models[name], assembled, learning.TARGET)
-        judged[name] = metrics.regressor_metrics(predictions, by=("split",)).collect()
+        judged[name] = judge_values(_predictions(trained.models[name], assembled, learning.TARGET))
+    trained.rows = row_counts(assembled)
     _release(assembled)
     return trained, judged
 
 
-def metric_rows(spark: SparkSession, judged: dict[str, list]) -> DataFrame:
+def metric_rows(spark: SparkSession, judged: dict[str, Judgement]) -> DataFrame:
     """Two rows per model: a handful of numbers, whatever the data size."""
-    rows = [{"model": name, **r.asDict()} for name, found in judged.items() for r in found]
-    columns = list(rows[0])
+    rows = [{"model": name, "split": s, **figures} for name, found in judged.items() for s, figures in found.items()]
+    columns = [c for c in rows[0] if c != "confusion_matrix"]
     return spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], columns)
 
 
-def on_test(judged: dict[str, list]) -> dict[str, dict]:
-    return {name: next(r.asDict() for r in found if r["split"] == "test") for name, found in judged.items()}
+def on_test(judged: dict[str, Judgement]) -> dict[str, dict]:
+    return {name: found["test"] for name, found in judged.items()}
 
 
 def store(trained: Trained, names: dict[str, str], models_dir: str) -> None:
@@ -105,37 +146,46 @@ def store(trained: Trained, names: dict[str, str], models_dir: str) -> None:
         save_model(model, f"{models_dir}/{names[name]}")
 
 
-def write_report(spark: SparkSession, judged: dict[str, list], best: str, path: str, started: float,
-                 thresholds: tuple[float, float] | None = None) -> None:
-    """Evaluation report document: metrics per model and split, the winner, the label cut points."""
-    low, high = thresholds or (None, None)
-    table = metric_rows(spark, judged)
-    document = table.agg(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("generated_at"),
-        F.lit(round(time.monotonic() - started, 2)).alias("duration_seconds"),
-        F.lit(low).cast("double").alias("low_threshold"), F.lit(high).cast("double").alias("high_threshold"),
-        F.collect_list(F.struct(*table.columns)).alias("models"), F.lit(best).alias("best_model"),
-    )
-    write_json(document, path)
+def report(trained: Trained, judged: dict[str, Judgement], years: Years, best: str, seconds: float) -> dict:
+    """Evaluation report: inputs, label definition where there is one, figures per model, and the winner."""
+    document = {
+        "generated_at": time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime()),
+        "duration_seconds": round(seconds, 2),
+        **{f"{name}_years": list(wanted) for name, wanted in years.items()},
+        "row_counts": trained.rows,
+        "models": judged,
+        "best_model": best,
+    }
+    if trained.thresholds:
+        low, high = trained.thresholds
+        document |= {
+            "label_thresholds": {"frp_low_quantile": low, "frp_high_quantile": high},
+            "label_index_mapping": {str(i): level for i, level in enumerate(trained.levels)},
+            "class_distribution": trained.classes,
+        }
+    return document
 
 
 def run(spark: SparkSession, features: DataFrame, models_dir: str, reports_dir: str,
-        settings: TreeSettings = TreeSettings(), train=None, validation=None, test=None) -> dict[str, str]:
+        settings: TreeSettings = TreeSettings(), train: list[int] | None = None,
+        validation: list[int] | None = None, test: list[int] | None = None) -> dict[str, str]:
     """Both trainings on a feature table; returns the best model of each kind."""
-    split = labels.time_split(features, train or labels.TRAIN_YEARS, validation or labels.VALIDATION_YEARS,
-                              test or labels.TEST_YEARS)
-    started = time.monotonic()
-    risk, judged = train_risk(spark, split, settings)
-    best_risk = learning.best_classifier(on_test(judged))
-    store(risk, RISK_MODELS, models_dir)
-    write_report(spark, judged, best_risk, f"{reports_dir}/risk_classifier", started, risk.thresholds)
-
-    started = time.monotonic()
-    size, judged = train_size(spark, split, settings)
-    best_size = learning.best_regressor(on_test(judged))
-    store(size, SIZE_MODELS, models_dir)
-    write_report(spark, judged, best_size, f"{reports_dir}/fire_size_regressor", started)
-    return {"risk": best_risk, "fire_size": best_size}
+    years = {"train": train or labels.TRAIN_YEARS, "validation": validation or labels.VALIDATION_YEARS,
+             "test": test or labels.TEST_YEARS}
+    split = labels.time_split(features, **years)
+    jobs = {
+        "risk_classifier": (train_risk, learning.best_classifier, RISK_MODELS),
+        "fire_size_regressor": (train_size, learning.best_regressor, SIZE_MODELS),
+    }
+    best = {}
+    for job, (train_models, choose, names) in jobs.items():
+        started = time.monotonic()
+        trained, judged = train_models(spark, split, settings)
+        best[job] = choose(on_test(judged))
+        store(trained, names, models_dir)
+        document = report(trained, judged, years, best[job], time.monotonic() - started)
+        write_document(spark, document, f"{reports_dir}/{job}_report")
+    return best
 
 
 def run_anomaly(spark: SparkSession, features: DataFrame, years: list[int], path: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_FILE_ROWS = 50_000
@@ -56,3 +58,9 @@ def write_text(df: DataFrame, path: str, column: str = "value") -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """Report documents: a row per report, nested columns kept, NULL fields written."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_document(spark: SparkSession, document: dict, path: str) -> None:
+    """A report already reduced to a few numbers, as one JSON line."""
+    line = spark.createDataFrame([(json.dumps(document),)], "value STRING")
+    line.coalesce(1).write.mode("overwrite").text(path)

@@ -109,7 +109,10 @@ def test_profile_run(spark, data_dir, tmp_path):
     assert summary[2026].date_range == "2026-03-01 to 2026-05-01" and summary[2026].satellites == "SNPP"
     yearly = {r.year: r for r in spark.read.json(f"{tmp_path}/p/yearly").collect()}
     assert yearly[2026].null_counts.type == 2 and yearly[2026].null_counts.brightness == 1
-    assert yearly[2024].invalid_latitude_count == 1
+    assert yearly[2024].validation.invalid_latitude_count == 1
+    assert yearly[2024].numeric_statistics.frp.asDict() == {"min": 0.5, "max": 18.4, "avg": 9.38}
+    assert yearly[2026].distinct_values.versions == ["2", "2.0NRT"] and yearly[2024].distinct_values.fire_types == [0]
+    assert yearly[2024].spatial_bounds.max_latitude == 95.0 and len(yearly[2024].columns) == 15
     assert len(yearly[2026].file_metadata) == 2
     overall = spark.read.json(f"{tmp_path}/p/overall").first()
     assert (overall.grand_total_rows, overall.grand_total_files) == (8, 3)

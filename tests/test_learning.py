@@ -1,3 +1,5 @@
+import functools
+import json
 import math
 import random
 
@@ -93,8 +95,8 @@ def split(spark, sf_dir):
 
 def test_stored_models_score_like_fresh_ones(spark, split, tmp_path):
     trained, judged = training.train_risk(spark, split, QUICK_TREES)
-    assert learning.best_classifier(training.on_test(judged)) in ("forest", "gbt")
-    assert all(r["f1"] > 0.5 for rows in judged.values() for r in rows)
+    assert learning.best_classifier(training.on_test(judged)) in (learning.FOREST, learning.RISK_BOOSTED)
+    assert all(figures["f1"] > 0.5 for found in judged.values() for figures in found.values())
     training.store(trained, training.RISK_MODELS, str(tmp_path))
     from emberlake.plans.live import load_risk_scorer
 
@@ -107,15 +109,21 @@ def test_stored_models_score_like_fresh_ones(spark, split, tmp_path):
 
 
 def test_full_training_run(spark, split, tmp_path):
-    import functools
-
     rows = functools.reduce(lambda a, b: a.unionByName(b), split.values())
     best = training.run(spark, rows, str(tmp_path / "models"), str(tmp_path / "reports"), QUICK_TREES,
                         FIXTURE_TRAIN, FIXTURE_VALIDATION, FIXTURE_TEST)
-    assert set(best) == {"risk", "fire_size"}
-    report = spark.read.json(f"{tmp_path}/reports/risk_classifier").first()
-    assert report.best_model == best["risk"] and report.low_threshold < report.high_threshold
-    assert len(report.models) == 4
+    assert set(best) == {"risk_classifier", "fire_size_regressor"}
+    report = json.loads(spark.read.text(f"{tmp_path}/reports/risk_classifier_report").first().value)
+    assert report["best_model"] == best["risk_classifier"]
+    assert report["label_thresholds"]["frp_low_quantile"] < report["label_thresholds"]["frp_high_quantile"]
+    assert set(report["models"]) == {"random_forest", "gbt_one_vs_rest"} and report["test_years"] == FIXTURE_TEST
+    assert sorted(report["label_index_mapping"].values()) == ["High", "Low", "Medium"]
+    for name in ("validation", "test"):
+        matrix = report["models"]["gbt_one_vs_rest"][name]["confusion_matrix"]
+        assert sum(n for row in matrix.values() for n in row.values()) == report["row_counts"][name]
+        assert sum(report["class_distribution"][name].values()) == report["row_counts"][name]
+    report = json.loads(spark.read.text(f"{tmp_path}/reports/fire_size_regressor_report").first().value)
+    assert set(report["models"]["random_forest"]["test"]) == {"rmse", "mae", "r2"} and "label_thresholds" not in report
 
 
 def test_training_needs_rows(spark, split):
