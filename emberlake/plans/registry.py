@@ -23,7 +23,7 @@ from emberlake.operators import (
 from emberlake.operators.words import word_count as count_words
 from emberlake.plans import history, training
 from emberlake.schemas import (
-    ALERT_MESSAGE, ANOMALY_COLUMNS, ANOMALY_MESSAGE, CANONICAL_COLUMNS, FEATURE_COLUMNS, FIRE_EVENT, RAW_NRT,
+    ALERT_MESSAGE, ANOMALY_COLUMNS, ANOMALY_MESSAGE, FEATURE_COLUMNS, FIRE_EVENT, RAW_NRT,
     RISK_COLUMNS, RISK_MESSAGE,
 )
 from emberlake.session import new_work_dir, store_once, use_utc
