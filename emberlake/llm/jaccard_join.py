@@ -6,10 +6,12 @@ inequality says nothing. So the space is cut in two ways, both exact:
 * *Anchors.* All sets share one order of shingles: by the number of sets that hold them, then by hash, with shingles in
   a ``common_share`` of all sets last. Linked sets share a shingle among each one's first ``n - ceil(0.75 n) + 1``. The
   sets with the same such shingle make a region; a set whose first shingles are all its own has no link.
-* *Pivots.* In every region some sets become pivots. Each set belongs to the cell of its nearest pivot and is copied to
-  the cell of pivot j if d(set, j) <= d(set, nearest) + 2 * 0.25: linked sets then meet in the cell of one of them. Cells
-  are regions again, without the pivots, which have met everyone. Sets known to be connected need no further comparison,
-  so a region with one component left is done, and a group of thousands of near copies costs one comparison each.
+* *Pivots.* Regions with the same pivot (the member that comes first by hash) become one cell. A cell of bounded size is
+  joined in one task: pivot after pivot meets those members whose distances to earlier pivots differ from its own by no
+  more than 0.25. A larger cell is first split over the cluster: each set belongs to the region of its nearest pivot and
+  is copied to that of pivot j if d(set, j) <= d(set, nearest) + 2 * 0.25, so linked sets meet in the region of one of
+  them; the regions are cells again, without the pivots, which have met everyone. Sets known to be connected need no
+  further comparison, so thousands of near copies cost one comparison each.
 
 Counting is exact and covers every set. Its hot shingles are found first (their number is at most the mean set size over
 ``common_share``, whatever the input size) and need no gathering; all others are counted in buckets whose number follows
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +37,16 @@ from emberlake.llm.shingles import prefix_length, set_digest, shingle_sets
 @dataclass(frozen=True)
 class JoinSettings:
     """``percent``: least Jaccard likeness of a link. ``common_share``: share of all texts that makes a shingle hot.
-    ``bucket_shingles``: shingles counted in one task. ``pivots``: per region and round. ``rounds``: after so many, what
-    is left of a region is compared pair by pair, so that the result is exact in any case."""
+    ``bucket_shingles``: shingles counted in one task. ``leaf_shingles``: size of a cell that one task joins.
+    ``pivots``: per larger cell and round. ``rounds``: after so many, what is left of such a cell is compared pair by
+    pair over the cluster, so that the result is exact in any case."""
 
     percent: int = 75
     common_share: float = 0.001
     bucket_shingles: int = 1_500_000
-    pivots: int = 2
-    rounds: int = 8
+    leaf_shingles: int = 4_000_000
+    pivots: int = 4
+    rounds: int = 6
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -185,15 +190,57 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                       .mapInArrow(_likeness, "a long, b long, shared long, united long"), "compared")
 
 
-def _open_regions(members: DataFrame) -> DataFrame:
-    """Regions that still hold several components, one of each membership. In and out: (region, set_id, label, home)."""
-    facts = members.groupBy("region").agg(
+_LEAF_PIVOTS = 8
+
+
+def _leaf(percent: int) -> Callable:
+    """Links that connect, within one cell, exactly what all its links connect."""
+    reach = (100 - percent) / 100 + 1e-9
+
+    def run(cell: pa.Table) -> pa.Table:
+        ids = cell.column("set_id").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in cell.column("shingles")]
+        sizes = np.array([len(x) for x in sets])
+        starts = np.append(0, np.cumsum(sizes)[:-1])
+        values = np.concatenate(sets)
+        _, label = np.unique(cell.column("label").to_numpy(), return_inverse=True)
+        waiting = np.ones(len(ids), dtype=bool)
+        earlier: list[np.ndarray] = []
+        a, b = [], []
+        while len(counts := np.bincount(label[waiting])) and (counts > 0).sum() > 1:
+            rarest = np.flatnonzero(counts)[np.argmin(counts[counts > 0])]
+            pivot = int(np.flatnonzero(waiting & (label == rarest))[0])
+            waiting[pivot] = False
+            met = waiting & (label != label[pivot])
+            met &= 100 * np.minimum(sizes, sizes[pivot]) >= percent * np.maximum(sizes, sizes[pivot])
+            for far in earlier:
+                met &= ~(np.abs(far - far[pivot]) > reach)
+            who = np.flatnonzero(met)
+            if 8 * len(who) > len(ids):
+                at = np.minimum(np.searchsorted(sets[pivot], values), sizes[pivot] - 1)
+                shared = np.add.reduceat((sets[pivot][at] == values).astype(np.int64), starts)
+                united = sizes + sizes[pivot] - shared
+                earlier = [*earlier[1 - _LEAF_PIVOTS:], 1 - shared / united]
+                linked = who[(100 * shared >= percent * united)[who]]
+            else:
+                shared = np.array([len(np.intersect1d(sets[i], sets[pivot], assume_unique=True)) for i in who], dtype=np.int64)
+                linked = who[100 * shared >= percent * (sizes[who] + sizes[pivot] - shared)]
+            a += [ids[pivot]] * len(linked)
+            b += ids[linked].tolist()
+            label[np.isin(label, label[linked])] = label[pivot]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _open_cells(members: DataFrame) -> DataFrame:
+    """Cells that still hold several components, one of each membership; ``size`` is a cell's sum of set sizes."""
+    facts = members.groupBy("cell").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.max("home").alias("home"),
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("x"),
-        F.bit_xor(F.xxhash64("set_id", F.lit(2))).alias("y"), F.min("set_id").alias("s"))
-    kept = (facts.where("least < most AND home").groupBy("n", "x", "y", "s").agg(F.min("region").alias("region"))
-            .select("region"))
-    return members.join(kept, "region", "left_semi")
+        F.bit_xor(F.xxhash64("set_id", F.lit(2))).alias("y"), F.sum("n_shingles").alias("size"))
+    kept = (facts.where("least < most AND home").groupBy("n", "x", "y")
+            .agg(F.min(F.struct("cell", "size")).alias("kept")).select("kept.*"))
+    return members.drop("size").join(kept, "cell")
 
 
 def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFrame:
@@ -232,14 +279,18 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
               .withColumn("rank", F.row_number().over(Window.partitionBy("set_id").orderBy("holders", "region")))
               .where("rank <= need").select("region", "set_id"))
     anchored = ranked.unionByName(facts.select(F.explode("common").alias("region"), "set_id"))
-    members = anchored.select("region", "set_id", F.col("set_id").alias("label"), F.lit(True).alias("home"))
+    pivots = anchored.groupBy("region").agg(
+        F.min(F.struct(F.xxhash64("set_id"), "set_id")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    members = (anchored.join(pivots, "region").select(F.col("p.set_id").alias("cell"), "set_id").distinct()
+               .join(sets.select("set_id", "n_shingles"), "set_id")
+               .withColumns({"label": F.col("set_id"), "home": F.lit(True)}))
     wanted = facts.select(F.col("doc_id").alias("rep_id"), "set_id")
     whole = store_once(
         texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep_id"])).select("set_id", "text")
         .mapInArrow(_whole_sets, "set_id long, shingles binary").where("shingles IS NOT NULL")
         .groupBy("set_id").agg(F.first("shingles").alias("shingles")), "sets")
 
-    labels = _join_regions(members, whole, settings)
+    labels = connected_components(_join_cells(members, whole, settings))
     reached = (sets.select("set_id", "doc_id").join(labels, sets["set_id"] == labels["node"], "left")
                .select("set_id", "doc_id", F.coalesce("label", "set_id").alias("label")))
     least = reached.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -249,40 +300,45 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
                     F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def _join_regions(members: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFrame:
-    """(node, label): the components of all linked sets that share a region."""
+def _join_cells(members: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFrame:
+    """(a, b): links that connect what all links between sets of one cell connect."""
     reach = (100 - settings.percent) / 100 + 1e-9
-    links, labels = None, None
+    members = store_once(_open_cells(members), "cells")
+    leaf, large = (members.where(F.col("size") <= settings.leaf_shingles), members.where(F.col("size") > settings.leaf_shingles))
+    leaves, links = [leaf], []
     for done in range(settings.rounds + 1):
-        members = store_once(_open_regions(members), "regions")
-        if links is not None and members.isEmpty():
+        if large.isEmpty():
             break
+        met = pairs = None
         if done < settings.rounds:
-            chosen = (members.groupBy("region", "label").agg(F.min(F.struct(F.xxhash64("set_id"), "set_id")).alias("p"))
-                      .withColumn("rank", F.row_number().over(Window.partitionBy("region").orderBy("p")))
-                      .where(F.col("rank") <= settings.pivots).select("region", F.col("p.set_id").alias("pivot")))
-            met = store_once(members.join(chosen, "region"), "met")
+            chosen = (large.groupBy("cell", "label").agg(F.min(F.struct(F.xxhash64("set_id"), "set_id")).alias("p"))
+                      .withColumn("rank", F.row_number().over(Window.partitionBy("cell").orderBy("p")))
+                      .where(F.col("rank") <= settings.pivots).select("cell", F.col("p.set_id").alias("pivot")))
+            met = store_once(large.join(chosen, "cell"), "met")
             pairs = met.where("set_id <> pivot").select(
                 F.least("set_id", "pivot").alias("a"), F.greatest("set_id", "pivot").alias("b"))
         else:
-            left, right = members.alias("l"), members.alias("r")
-            pairs = left.join(right, F.expr(
-                "l.region = r.region AND l.set_id < r.set_id AND l.label <> r.label AND (l.home OR r.home)")).select(
+            pairs = large.alias("l").join(large.alias("r"), F.expr(
+                "l.cell = r.cell AND l.set_id < r.set_id AND l.label <> r.label AND (l.home OR r.home)")).select(
                 F.col("l.set_id").alias("a"), F.col("r.set_id").alias("b"))
         compared = _compare(pairs, sets)
-        linked = compared.where(F.col("shared") * 100 >= F.col("united") * settings.percent).select("a", "b")
-        links = linked if links is None else links.unionByName(linked)
-        labels = connected_components(links)
+        links.append(compared.where(F.col("shared") * 100 >= F.col("united") * settings.percent).select("a", "b"))
         if done == settings.rounds:
             break
-        pivots = met.where("set_id = pivot").select("region", "set_id")
-        far = (met.join(pivots, ["region", "set_id"], "left_anti")
+        labels = connected_components(reduce(DataFrame.unionByName, links))
+        pivots = met.where("set_id = pivot").select("cell", "set_id")
+        far = (met.join(pivots, ["cell", "set_id"], "left_anti")
                .withColumns({"a": F.least("set_id", "pivot"), "b": F.greatest("set_id", "pivot")})
                .join(compared, ["a", "b"]).withColumn("far", 1 - F.col("shared") / F.col("united")))
-        nearest = far.groupBy("region", "set_id").agg(F.min(F.struct("far", "pivot")).alias("near"))
-        cells = (far.join(nearest, ["region", "set_id"]).where(F.col("far") <= F.col("near.far") + 2 * reach)
-                 .select(F.xxhash64("region", "pivot").alias("region"), "set_id",
+        nearest = far.groupBy("cell", "set_id").agg(F.min(F.struct("far", "pivot")).alias("near"))
+        cells = (far.join(nearest, ["cell", "set_id"]).where(F.col("far") <= F.col("near.far") + 2 * reach)
+                 .select(F.xxhash64("cell", "pivot").alias("cell"), "set_id", "n_shingles",
                          (F.col("home") & (F.col("pivot") == F.col("near.pivot"))).alias("home")))
-        members = (cells.join(labels, cells["set_id"] == labels["node"], "left")
-                   .select("region", "set_id", F.coalesce("label", "set_id").alias("label"), "home"))
-    return labels
+        members = store_once(_open_cells(
+            cells.join(labels, cells["set_id"] == labels["node"], "left")
+            .select("cell", "set_id", "n_shingles", F.coalesce("label", "set_id").alias("label"), "home")), "cells")
+        leaves.append(members.where(F.col("size") <= settings.leaf_shingles))
+        large = members.where(F.col("size") > settings.leaf_shingles)
+    within = (reduce(DataFrame.unionByName, leaves).select("cell", "set_id", "label").join(sets, "set_id")
+              .groupBy("cell").applyInArrow(_leaf(settings.percent), "a long, b long"))
+    return reduce(DataFrame.unionByName, links, within)
