@@ -273,9 +273,9 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
         sets.join(common, "set_id").join(counted.groupBy("set_id").agg(F.sum("n_shared").alias("n_shared")), "set_id", "left")
         .select("set_id", "doc_id", "common", (first - own).alias("need")).where("need > 0"), "facts")
 
-    ranked = (counted.join(facts.select("set_id", "need"), "set_id")
-              .select("set_id", "need", F.explode(F.arrays_zip("shingles", "holders")).alias("s"))
-              .select("set_id", "need", F.col("s.shingles").alias("region"), F.col("s.holders").alias("holders"))
+    shared = (counted.select("set_id", F.explode(F.arrays_zip("shingles", "holders")).alias("s"))
+              .select("set_id", F.col("s.shingles").alias("region"), F.col("s.holders").alias("holders")))
+    ranked = (shared.join(facts.select("set_id", "need"), "set_id")
               .withColumn("rank", F.row_number().over(Window.partitionBy("set_id").orderBy("holders", "region")))
               .where("rank <= need").select("region", "set_id"))
     anchored = ranked.unionByName(facts.select(F.explode("common").alias("region"), "set_id"))
