@@ -164,10 +164,10 @@ def mixture(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSetti
 
 
 def resample(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
-    """The rows of ``docs``, unchanged, each as often as its copies say. Texts are read, not shuffled."""
+    """The rows of ``docs``, unchanged, each as often as its copies say. Texts are stored once, not shuffled; without that
+    the posterior would be worked out anew within each step of the rate."""
     model = learn_domains(docs, labels, settings)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    members = with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text"))
-    steps = fit_rates(members.select("n_tokens", "p"), settings)
-    rated = with_rates(members, steps, F.col("key")).where("copies > 0")
+    members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).select("row", "n_tokens", "p", "key"), "members")
+    rated = with_rates(members, fit_rates(members.select("n_tokens", "p"), settings), F.col("key")).where("copies > 0")
     return rated.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
