@@ -168,7 +168,9 @@ def _row(doc_id, points, hashes, mine, next_points, next_print, how: Sketching)
             theirs.astype(">u2").tobytes().hex(), likeness(mine, theirs), likeness(mine, next_print))
 
 
+#: Documents in a run, and the most runs (but for rounding, at most twice as many): what is broadcast is 24 bytes a run.
 RUN_IDS = 512
+MOST_RUNS = 100_000
 
 
 def edit_sensitivity(docs: DataFrame, how: Sketching = Sketching(), run_ids: int = RUN_IDS) -> DataFrame:
@@ -176,17 +178,18 @@ def edit_sensitivity(docs: DataFrame, how: Sketching = Sketching(), run_ids: int
 
     "Next" is in descending order of doc_id, from the last back to the first; ties are ordered by text, rows of null
     doc_id come last. A null text is empty; a lone row is next to itself. The order needs no global sort: ids are cut
-    into runs, a run is sorted within a task, and the first row of each run is lent to the run before.
+    into runs, a run is sorted within a task, and the first row of each run is lent to the run before. Texts are
+    shuffled once; which rows are lent is found by a broadcast of the runs' first ids, whose number is bounded.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     count = docs.count()
     if not count:
         return docs.sparkSession.createDataFrame([], _OUT)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    run = _run_of(ids, count, max(1, run_ids))
+    run = _run_of(ids, count, max(1, run_ids, count // MOST_RUNS))
     firsts = store_once(ids.select(run.alias("run"), "doc_id").groupBy("run").agg(F.max("doc_id").alias("first_id")), "runs")
     chained = _previous(firsts, firsts.agg(F.max("run")).first()[0])
-    lenders = rows.withColumn("run", run).join(chained.withColumnRenamed("run", "of"), (F.col("run") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
+    lenders = rows.withColumn("run", run).join(F.broadcast(chained.withColumnRenamed("run", "of")), (F.col("run") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     lent = (lenders.groupBy("of").agg(F.min("text").alias("text"), F.first("doc_id").alias("doc_id"), F.first("before").alias("run"))
             .select("run", "doc_id", "text", F.lit(True).alias("lent")))
     every = rows.select(run.alias("run"), "doc_id", "text", F.lit(False).alias("lent")).unionByName(lent)
