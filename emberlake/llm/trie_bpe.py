@@ -30,7 +30,7 @@ _RAW_WORD = re.compile(f"[^{_BLANK}]+")
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Characters that Python's own split takes as blank and the normalizer doesn't.
 _ODD_BLANK = re.compile("[\x1c-\x1f]")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 700_000
 CACHED_CHARACTERS = 10_000_000
 
 
@@ -41,6 +41,14 @@ def _byte_characters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
+def _reach(tokens: dict[str, str]) -> dict[str, int]:
+    """The longest token for each pair of last characters."""
+    reach: dict[str, int] = {}
+    for token in tokens:
+        reach[token[-2:]] = max(len(token), reach.get(token[-2:], 1))
+    return reach
+
+
 @dataclass
 class TrieBpe:
     """Vocabulary, merges and added tokens, with the walk over words and what it has learnt about token pairs."""
@@ -53,7 +61,7 @@ class TrieBpe:
     def __post_init__(self) -> None:
         self.inner = {t: t for t in self.vocab if not t.endswith(WORD_END)}
         self.final = {t[:-len(WORD_END)]: t for t in self.vocab if t.endswith(WORD_END)}
-        self.longest = max(map(len, self.vocab), default=1)
+        self.inner_reach, self.final_reach = _reach(self.inner), _reach(self.final)
         self.names = {i: t for t, i in (self.vocab | self.added).items()}
         self.fits: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
@@ -99,13 +107,13 @@ class TrieBpe:
                 depth += 1
             del last[depth + 1:]
             for end in range(len(last), len(word)):
-                for start in range(max(0, end - self.longest), end):
+                for start in range(max(0, end - self.inner_reach.get(word[max(0, end - 2):end], 1)), end):
                     token = self.inner.get(word[start:end])
                     if token is not None and self.stands(last[start], token):
                         last.append(token)
                         break
             path = word[:len(last) - 1]
-            for start in range(max(0, len(word) - self.longest), len(word)):
+            for start in range(max(0, len(word) - self.final_reach.get(word[-2:], 1)), len(word)):
                 token = self.final.get(word[start:])
                 if token is not None and self.stands(last[start], token):
                     break
