@@ -27,13 +27,15 @@ DOMAIN_OF_LABEL = "CASE WHEN toxic = 1 THEN 2 WHEN quality = 0 THEN 1 WHEN quali
 class MixSettings:
     """``weights``: target share of the tokens per domain. ``cells``: hashed words. ``labelled_documents``: bound on the
     documents the classifier learns from, chosen by hash. ``sharpness``: power of the likelihood, as words aren't
-    independent. ``levels``: posteriors are rounded to one part in so many. ``steps``, ``tolerance``: of the fit."""
+    independent. ``upsample``: whether a domain with fewer tokens than its target is repeated; if not, what there is of it
+    is its target. ``levels``: posteriors are rounded to one part in so many. ``steps``, ``tolerance``: of the fit."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"clean": 0.97, "low": 0.02, "toxic": 0.01})
     cells: int = 1 << 14
     labelled_documents: int = 20_000
     smoothing: float = 0.5
     sharpness: float = 0.5
+    upsample: bool = False
     levels: int = 200
     steps: int = 80
     tolerance: float = 2e-4
@@ -126,6 +128,8 @@ def fit_rates(members: DataFrame, settings: MixSettings = MixSettings()) -> list
     total = first["all"]
     main = max(range(k), key=lambda d: weights[d])
     target = [first[f"s{main}"] / weights[main] * w / total for w in weights]
+    if not settings.upsample:
+        target = [min(t, first[f"s{d}"] / total) for d, t in enumerate(target)]
     matrix = [[first[f"m{i}_{j}"] / total for j in range(k)] for i in range(k)]
     vector, largest = [1.0] * k, 1.0
     for _ in range(100):

@@ -274,7 +274,7 @@ def test_secret_scan(spark, docs, odd, none):
 
 
 def test_mixing(docs, labels, odd, none):
-    settings = mixing.MixSettings()
+    settings = mixing.MixSettings(upsample=True)
     rows = mixing.mixture(docs, labels, settings).toPandas()
     totals = {d: (rows.n_tokens * rows[f"p_{d}"] * rows.rate).sum() for d in mixing.DOMAINS}
     whole = (rows.n_tokens * rows.p_clean).sum() / settings.weights["clean"]
