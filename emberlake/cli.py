@@ -50,11 +50,15 @@ def _load(spark, args):
     load.load_events(spark, args.curated, args.years, store, args.mode)
 
 
+#: Topics that scoring and alerts read.
+SCORED = ("fire_to_score", "risk", "anomalies")
+
+
 def _topics(args) -> live.Topics:
     default = live.Topics()
     named = {role: getattr(default, role) for role in default.__dataclass_fields__}
     return live.Topics(**{
-        role: Topic(t.location, servers=args.kafka_bootstrap, per_trigger=t.per_trigger) for role, t in named.items()
+        role: Topic(t.location, servers=args.kafka_bootstrap, per_trigger=args.rate if role in SCORED else t.per_trigger) for role, t in named.items()
     })
 
 
@@ -119,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("job", choices=["ingest", "anomalies", "risk", "alerts"])
     sub.add_argument("--mode", choices=["fire", "environmental", "both"], default="both")
     sub.add_argument("--kafka-bootstrap", default="localhost:9092")
+    sub.add_argument("--rate", type=int, help="most messages per source and trigger when scoring; all, if not given")
     sub.add_argument("--output")
     sub.add_argument("--model")
     sub.add_argument("--models")

@@ -21,7 +21,8 @@ from emberlake.operators.dedup import keep_one
 from emberlake.operators.features import batch_features
 from emberlake.operators.validation import is_valid
 from emberlake.schemas import CANONICAL_COLUMNS, NATURAL_KEY
-from emberlake.sinks.tables import write_json, write_raw_sample, write_years, write_years_as_is
+from emberlake.session import store_once
+from emberlake.sinks.tables import clear_years, write_json, write_raw_sample, write_years, write_years_as_is
 from emberlake.sources.files import file_metadata, read_year, read_years
 
 
@@ -112,10 +113,13 @@ def overall_document(documents: DataFrame, sample_limit: int | None) -> DataFram
 
 def process(spark: SparkSession, raw: DataFrame, years: list[int], layout: Layout, nrt=None) -> DataFrame:
     """Raw rows tagged with ``source_year`` to stored tables; returns the per-year figures."""
+    for base in (layout.checked, layout.curated, layout.features):
+        clear_years(spark, base, years)
     write_checked(raw, layout.checked, nrt)
     checked = spark.read.parquet(layout.checked).where(F.col("year").isin(years))
-    write_years(curate(checked).select(*CANONICAL_COLUMNS, "year"), layout.curated)
-    curated = spark.read.parquet(layout.curated).where(F.col("year").isin(years))
+    cured = curate(checked).select(*CANONICAL_COLUMNS, "year")
+    write_years(cured, layout.curated)
+    curated = spark.read.schema(cured.schema).parquet(layout.curated).where(F.col("year").isin(years))
     # The folder year stays the partition even where a stray row's own date says otherwise.
     features = batch_features(curated.withColumnRenamed("year", "folder_year"))
     write_years_as_is(features.withColumn("year", F.col("folder_year")).drop("folder_year"), layout.features)
@@ -130,7 +134,7 @@ def run(spark: SparkSession, data_dir: str, years: list[int], layout: Layout,
     if layout.raw_sample:
         for year in years:
             write_raw_sample(read_year(spark, data_dir, year), f"{layout.raw_sample}/year={year}")
-    figures = process(spark, read_years(spark, data_dir, years, sample_limit), years, layout, nrt)
+    figures = store_once(process(spark, read_years(spark, data_dir, years, sample_limit), years, layout, nrt), "history-figures")
     files = file_metadata(spark, data_dir, years)
     documents = report_documents(figures, files, layout, time.monotonic() - started)
     write_json(documents.coalesce(1), f"{layout.reports}/yearly")

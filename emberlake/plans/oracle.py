@@ -407,7 +407,7 @@ _FINAL: dict[str, tuple[str, str]] = {
         WHERE CAST(event_timestamp AS DATE) = (SELECT max(CAST(event_timestamp AS DATE)) FROM events_served)"""),
     "recent_table": ("events_served", """
         SELECT event_timestamp, latitude, longitude, frp, brightness, confidence, daynight, satellite
-        FROM (SELECT * FROM events_served ORDER BY event_timestamp DESC, latitude, longitude LIMIT 10000)
+        FROM events_served
         WHERE CAST(event_timestamp AS DATE) = (SELECT max(CAST(event_timestamp AS DATE)) FROM events_served)"""),
     "load_gate": ("events_served", "SELECT COUNT(*) AS row_count, COUNT(*) > 0 AS passed FROM events_served"),
     "csv_year_scan": ("fire", f"SELECT {EVENT}, source_year FROM fire"),

@@ -44,7 +44,6 @@ QUERIES: dict[str, Query] = {}
 FIXTURE_YEARS = FIXTURE_TRAIN + FIXTURE_VALIDATION + FIXTURE_TEST
 FIT_YEARS = FIXTURE_TRAIN + FIXTURE_VALIDATION
 STAT_DIGITS = 9
-QUICK_TREES = learning.TreeSettings(forest_trees=10, forest_depth=5, boost_rounds=5, boost_depth=4)
 
 
 def zoneless(df: DataFrame) -> DataFrame:
@@ -419,8 +418,8 @@ def train_frp_gbt(spark, sf_dir):
 @query
 def select_best(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    _, risk = training.train_risk(spark, split, QUICK_TREES)
-    _, size = training.train_size(spark, split, QUICK_TREES)
+    _, risk = training.train_risk(spark, split)
+    _, size = training.train_size(spark, split)
     best = [("risk", learning.best_classifier(training.on_test(risk))),
             ("fire_size", learning.best_regressor(training.on_test(size)))]
     return spark.createDataFrame(best, "target STRING, best_model STRING")
@@ -429,14 +428,14 @@ def select_best(spark, sf_dir):
 @query
 def score_risk(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    trained, _ = training.train_risk(spark, split, QUICK_TREES, (learning.RISK_BOOSTED,))
+    trained, _ = training.train_risk(spark, split, models=(learning.RISK_BOOSTED,))
     return learning.score_risk(cleaning.fill_for_learning(split["test"]), trained)
 
 
 @query
 def score_fire_size(spark, sf_dir):
     split = stored_split(spark, sf_dir)
-    trained, _ = training.train_size(spark, split, QUICK_TREES, (learning.SIZE_BOOSTED,))
+    trained, _ = training.train_size(spark, split, models=(learning.SIZE_BOOSTED,))
     predicted = learning.score_fire_size(cleaning.fill_for_learning(split["test"]), trained)
     return serving.conforming_rows(predicted, "fire_size_predictions")
 
@@ -506,7 +505,7 @@ def stream_anomaly(spark, sf_dir):
 def stream_risk(spark, sf_dir):
     """Train, then score the live feed with the boosted one-vs-rest model."""
     base = new_work_dir(spark, "risk-stream")
-    trained, _ = training.train_risk(spark, stored_split(spark, sf_dir), QUICK_TREES, (learning.RISK_BOOSTED,))
+    trained, _ = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.RISK_BOOSTED,))
 
     def scorer(events: DataFrame) -> DataFrame:
         return learning.score_risk(cleaning.fill_for_learning(features.batch_features(events)), trained)
@@ -598,8 +597,8 @@ def map_points(spark, sf_dir):
 
 @query
 def recent_table(spark, sf_dir):
-    """The board's order of steps: newest events first, then the newest day among them."""
-    return serving.recent_table(serving.on_date(serving.recent_events(stored_events(spark, sf_dir))))
+    """All events of the newest day."""
+    return serving.recent_table(serving.on_date(stored_events(spark, sf_dir)))
 
 
 @query

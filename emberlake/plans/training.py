@@ -104,12 +104,14 @@ def train_risk(spark: SparkSession, split: Split, settings: TreeSettings = TreeS
     assembled = _assembled(features, labelled, "label", "risk_level")
     learners = {FOREST: learning.risk_forest, RISK_BOOSTED: learning.risk_boosted}
     trained, judged = Trained(features, {}, (low, high)), {}
-    for name in models:
-        trained.models[name] = learners[name](settings).fit(assembled["train"])
-        judged[name] = judge_classes(_predictions(trained.models[name], assembled, "label"))
-    trained.classes = class_counts(assembled)
-    trained.rows = {name: sum(counts.values()) for name, counts in trained.classes.items()}
-    _release(assembled)
+    try:
+        for name in models:
+            trained.models[name] = learners[name](settings).fit(assembled["train"])
+            judged[name] = judge_classes(_predictions(trained.models[name], assembled, "label"))
+        trained.classes = class_counts(assembled)
+        trained.rows = {name: sum(counts.values()) for name, counts in trained.classes.items()}
+    finally:
+        _release(assembled)
     return trained, judged
 
 
@@ -121,11 +123,13 @@ def train_size(spark: SparkSession, split: Split, settings: TreeSettings = TreeS
     assembled = _assembled(features, ready, learning.TARGET)
     learners = {FOREST: learning.intensity_forest, SIZE_BOOSTED: learning.intensity_boosted}
     trained, judged = Trained(features), {}
-    for name in models:
-        trained.models[name] = learners[name](settings).fit(assembled["train"])
-        judged[name] = judge_values(_predictions(trained.models[name], assembled, learning.TARGET))
-    trained.rows = row_counts(assembled)
-    _release(assembled)
+    try:
+        for name in models:
+            trained.models[name] = learners[name](settings).fit(assembled["train"])
+            judged[name] = judge_values(_predictions(trained.models[name], assembled, learning.TARGET))
+        trained.rows = row_counts(assembled)
+    finally:
+        _release(assembled)
     return trained, judged
 
 

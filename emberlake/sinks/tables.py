@@ -7,28 +7,26 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_FILE_ROWS = 50_000
-SMALL_FILE_LIMIT = 4
-SINGLE_FILE_ROWS = 1_000_000
 RAW_SAMPLE_ROWS = 1000
 
 
-def small_file_count(rows: int) -> int:
-    """File count for a small yearly output."""
-    return max(1, min(SMALL_FILE_LIMIT, rows // SMALL_FILE_ROWS))
+def clear_years(spark: SparkSession, base: str, years: list[int]) -> None:
+    """Remove the folders of these years, so that a year that comes out empty keeps no rows of an earlier run."""
+    jvm = spark.sparkContext._jvm
+    for year in years:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{base}/year={int(year)}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_years(df: DataFrame, base: str, rows: int | None = None) -> None:
+def write_years(df: DataFrame, base: str) -> None:
     """Replace the years present in ``df`` and leave all others as they are.
 
     Rows are regrouped by year with the rebalance hint: adaptive execution then
     merges small years into one file and splits a large year over many tasks,
-    which a fixed file count could not do. Given a row count that fits a few
-    small files, that fixed count is used instead. Files are in time order, so
-    that readers can skip pages by date.
+    which a fixed file count could not do. Files are in time order, so that
+    readers can skip pages by date.
     """
-    small = rows is not None and rows <= SMALL_FILE_LIMIT * SMALL_FILE_ROWS
-    arranged = df.repartition(small_file_count(rows)) if small else df.hint("rebalance", "year")
+    arranged = df.hint("rebalance", "year")
     in_order = ["year", *[c for c in ("event_timestamp",) if c in df.columns]]
     write_years_as_is(arranged.sortWithinPartitions(*in_order), base)
 
@@ -44,10 +42,9 @@ def write_raw_sample(raw: DataFrame, path: str, rows: int = RAW_SAMPLE_ROWS) ->
     raw.limit(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_result_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """A headered CSV result in one file, or in several ordered parts where one would not be wise."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    arranged = df.coalesce(1) if small else df
+def write_result_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """A headered CSV result in ordered parts, or in one file if the caller knows that it is small enough."""
+    arranged = df.coalesce(1) if single_file else df
     arranged.write.mode("overwrite").option("header", True).csv(path)
 
 

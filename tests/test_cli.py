@@ -29,7 +29,9 @@ def test_defaults():
     assert cli._years(args) == [2026]
     args = cli.parser().parse_args(["stream", "ingest", "--kafka-bootstrap", "b:1"])
     assert {t.servers for t in vars(cli._topics(args)).values()} == {"b:1"}
-    assert cli._topics(args).fire_to_score.per_trigger == 5
+    assert cli._topics(args).fire_to_score.per_trigger is None
+    args = cli.parser().parse_args(["stream", "risk", "--models", "m", "--rate", "7"])
+    assert (cli._topics(args).fire_to_score.per_trigger, cli._topics(args).fire.per_trigger) == (7, None)
 
 
 class Session:

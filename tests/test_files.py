@@ -6,7 +6,7 @@ from emberlake.plans import history, profiles
 from emberlake.schemas import CANONICAL, FEATURE_COLUMNS, RAW_ARCHIVE, RAW_NRT
 from emberlake.sinks import tables
 from emberlake.sources import files
-from helpers import ARCHIVE, NRT
+from helpers import ARCHIVE, NRT, raw_frame, raw_row
 
 
 def write_csv(path, header, *records):
@@ -118,15 +118,16 @@ def test_profile_run(spark, data_dir, tmp_path):
     assert (overall.grand_total_rows, overall.grand_total_files) == (8, 3)
 
 
-@pytest.mark.parametrize("rows, count", [(0, 1), (49_999, 1), (100_000, 2), (12_000_000, 4)])
-def test_small_file_count(rows, count):
-    assert tables.small_file_count(rows) == count
-
-
-def test_small_years_get_the_fixed_file_count(spark, tmp_path):
-    df = spark.range(120_000).withColumn("year", F.lit(2024)).repartition(8)
-    tables.write_years(df, str(tmp_path / "few"), rows=120_000)
-    assert len(list((tmp_path / "few" / "year=2024").glob("*.parquet"))) == 2
+def test_a_rerun_replaces_a_year_that_comes_out_empty(spark, tmp_path):
+    layout = history.Layout.under(str(tmp_path / "h"))
+    good = raw_frame(spark, raw_row(), raw_row(latitude=12.5)).withColumn("source_year", F.lit(2024))
+    other = raw_frame(spark, raw_row(acq_date="2023-02-03")).withColumn("source_year", F.lit(2023))
+    history.process(spark, good.unionByName(other), [2023, 2024], layout).collect()
+    bad = raw_frame(spark, raw_row(latitude=123.0)).withColumn("source_year", F.lit(2024))
+    row = history.process(spark, bad, [2024], layout).first()
+    assert (row["input_rows"], row["invalid_rows"], row["output_rows"], row["duplicate_rows"]) == (1, 1, 0, 0)
+    for base, kept in ((layout.checked, [2023, 2024]), (layout.curated, [2023]), (layout.features, [2023])):
+        assert sorted(r["year"] for r in spark.read.parquet(base).select("year").distinct().collect()) == kept
 
 
 def test_text_round_trip(spark, tmp_path):
@@ -137,7 +138,7 @@ def test_text_round_trip(spark, tmp_path):
 
 def test_large_csv_results_stay_in_parts(spark, tmp_path):
     df = spark.range(100).repartitionByRange(4, "id")
-    tables.write_result_csv(df, str(tmp_path / "parts"), single_file_rows=10)
+    tables.write_result_csv(df, str(tmp_path / "parts"))
     assert len(list((tmp_path / "parts").glob("*.csv"))) == 4
 
 
