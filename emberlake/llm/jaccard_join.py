@@ -131,16 +131,16 @@ def _rows(*columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names)
 
 
-_FOUND = "set_id long, n_common long, n_shared long, shingles array<long>, holders array<long>"
+_FOUND = "set_id long, n_common long, common array<long>, region long, holders long"
 
 
 def _count(bucket: pa.Table) -> pa.Table:
-    """Of one bucket: for every set its shingles that other sets hold too, and how many hold them."""
-    names = ["set_id", "n_common", "n_shared", "shingles", "holders"]
+    """Of one bucket: a row for every set and shingle that other sets hold too, and how many hold it."""
+    names = ["set_id", "n_common", "common", "region", "holders"]
     n = bucket.num_rows
     if bucket.column("bucket")[0].as_py() < 0:
-        return pa.table([bucket.column("set_id"), bucket.column("n_common"), pa.nulls(n, pa.int64()),
-                         bucket.column("prefix"), pa.nulls(n, pa.list_(pa.int64()))], names)
+        return pa.table([bucket.column("set_id"), bucket.column("n_common"), bucket.column("prefix"),
+                         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
     column = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), dtype=kind) for x in bucket.column(name)])
     values, owner = column("shingles", np.uint64), np.repeat(column("set_ids", np.int64), column("lengths", np.int32))
     order = np.lexsort((owner, values))
@@ -152,15 +152,8 @@ def _count(bucket: pa.Table) -> pa.Table:
     holders = np.repeat(holders, holders)
     keep = holders > 1
     values, owner, holders = values[keep], owner[keep], holders[keep]
-    order = np.argsort(owner, kind="stable")
-    values, owner, holders = values[order], owner[order], holders[order]
-    owners, counts = np.unique(owner, return_counts=True)
-    offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-    return pa.table([
-        pa.array(owners, pa.int64()), pa.nulls(len(owners), pa.int64()), pa.array(counts, pa.int64()),
-        pa.ListArray.from_arrays(offsets, _signed(values)),
-        pa.ListArray.from_arrays(offsets, pa.array(holders, pa.int64())),
-    ], names)
+    return pa.table([pa.array(owner, pa.int64()), pa.nulls(len(owner), pa.int64()), pa.nulls(len(owner), pa.list_(pa.int64())),
+                     _signed(values), pa.array(holders, pa.int64())], names)
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,16 +258,14 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
     found = store_once(texts.mapInArrow(_deal(hot, buckets, percent), _BUCKETED).groupBy("bucket")
                        .applyInArrow(_count, _FOUND), "shared")
     common = found.where("n_common IS NOT NULL").groupBy("set_id").agg(
-        F.first("n_common").alias("n_common"), F.first("shingles").alias("common"))
-    counted = found.where("n_shared IS NOT NULL")
+        F.first("n_common").alias("n_common"), F.first("common").alias("common"))
+    shared = found.where("region IS NOT NULL").select("set_id", "region", "holders")
     first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
     own = F.col("n_shingles") - F.col("n_common") - F.coalesce("n_shared", F.lit(0))
     facts = store_once(
-        sets.join(common, "set_id").join(counted.groupBy("set_id").agg(F.sum("n_shared").alias("n_shared")), "set_id", "left")
+        sets.join(common, "set_id").join(shared.groupBy("set_id").agg(F.count("*").alias("n_shared")), "set_id", "left")
         .select("set_id", "doc_id", "common", (first - own).alias("need")).where("need > 0"), "facts")
 
-    shared = (counted.select("set_id", F.explode(F.arrays_zip("shingles", "holders")).alias("s"))
-              .select("set_id", F.col("s.shingles").alias("region"), F.col("s.holders").alias("holders")))
     ranked = (shared.join(facts.select("set_id", "need"), "set_id")
               .withColumn("rank", F.row_number().over(Window.partitionBy("set_id").orderBy("holders", "region")))
               .where("rank <= need").select("region", "set_id"))
