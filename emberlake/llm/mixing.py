@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlake.llm.common import store_once
-from emberlake.llm.quality_rules import words_of
+from emberlake.llm.quality_rules import SYMBOLS, words_of
 
 #: Domains and the labels that stand for them, in order.
 DOMAINS = ["clean", "low", "toxic"]
@@ -25,17 +25,19 @@ DOMAIN_OF_LABEL = "CASE WHEN toxic = 1 THEN 2 WHEN quality = 0 THEN 1 WHEN quali
 
 @dataclass(frozen=True)
 class MixSettings:
-    """``weights``: target share of the tokens per domain. ``cells``: hashed words. ``labelled_documents``: bound on the
-    documents the classifier learns from, chosen by hash. ``sharpness``: power of the likelihood, as words aren't
-    independent. ``upsample``: whether a domain with fewer tokens than its target is repeated; if not, what there is of it
-    is its target. ``levels``: posteriors are rounded to one part in so many. ``steps``, ``tolerance``: of the fit."""
+    """``weights``: target share of the tokens per domain. ``labelled_documents``: bound on the documents the classifier
+    learns from, chosen by hash. ``features``: most words that speak for a domain. ``significance``: least G statistic of
+    such a word. ``smoothing``: added counts of documents. ``upsample``: whether a domain with fewer tokens than its target
+    is repeated; if not, what there is of it is its target. ``most_rate``: upper bound of every rate, none if null.
+    ``levels``: posteriors are rounded to one part in so many. ``steps``, ``tolerance``: of the fit."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"clean": 0.97, "low": 0.02, "toxic": 0.01})
-    cells: int = 1 << 14
     labelled_documents: int = 20_000
+    features: int = 32
+    significance: float = 10.8
     smoothing: float = 0.5
-    sharpness: float = 0.5
     upsample: bool = False
+    most_rate: float | None = None
     levels: int = 200
     steps: int = 80
     tolerance: float = 2e-4
@@ -43,71 +45,101 @@ class MixSettings:
 
 @dataclass
 class DomainModel:
-    """``ratios[d]``: log share of each cell in domain d over that in domain 0. ``priors``: log shares of documents."""
+    """Log odds of each domain against domain 0. ``base``: of a document without any known word. ``weights[d]``: what each
+    known word, by hash, adds for domain d."""
 
-    ratios: list[list[float]]
-    priors: list[float]
+    base: list[float]
+    weights: list[dict[int, float]]
 
 
-def _cells(words: Column, settings: MixSettings) -> Column:
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(F.lower(w)), F.lit(settings.cells)).cast("int"))
+def _seen(words: Column, text: Column) -> Column:
+    """Hashes of the lower-cased words, and of three words about the text: its length, variety and share of symbols."""
+    n = F.size(words)
+    about = [("n", F.floor(F.log2(n + 1))), ("d", F.floor(8 * F.size(F.array_distinct(words)) / F.greatest(n, F.lit(1)))),
+             ("s", F.floor(F.log2(1 + 64 * F.regexp_count(text, F.lit(SYMBOLS)) / F.greatest(n, F.lit(1)))))]
+    return F.concat(F.transform(words, lambda w: F.xxhash64(F.lower(w))),
+                    F.array(*[F.xxhash64(F.concat(F.lit(f" {name}"), value.cast("string"))) for name, value in about]))
+
+
+def _with_seen(rows: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return rows.withColumn("words", words_of(F.col("text"))).withColumn("seen", _seen(F.col("words"), text))
+
+
+def _surprise(ours: Column, theirs: Column, n: float, m: float) -> Column:
+    """G statistic of a word that ``ours`` of n documents of a domain hold, and ``theirs`` of m others."""
+    part = lambda seen, expected: F.when(seen > 0, 2 * seen * F.ln(seen / expected)).otherwise(F.lit(0.0))
+    both = ours + theirs
+    return (part(ours, both * n / (n + m)) + part(theirs, both * m / (n + m))
+            + part(n - ours, (n + m - both) * n / (n + m)) + part(m - theirs, (n + m - both) * m / (n + m)))
 
 
 def learn_domains(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSettings()) -> DomainModel:
-    """Naive Bayes over hashed words of at most ``labelled_documents`` labelled documents, whose ids are broadcast.
+    """Naive Bayes over the presence of the words that speak for a domain, each against domain 0.
 
-    Labels without a domain or an id teach nothing; of several for one document the highest domain counts. A domain
-    without documents has a flat likelihood and next to no prior.
+    It learns from at most ``labelled_documents`` labelled documents, whose ids are broadcast. Counted are documents, not
+    occurrences, so long texts weigh no more. A domain is told by the ``features`` words with the largest G statistic
+    among those more frequent in it; only these reach the driver. Labels without a domain or an id teach nothing; of
+    several for one document the highest domain counts. A domain without documents has next to no prior.
     """
     known = (labels.select(F.col("doc_id").cast("long").alias("l_id"), F.expr(DOMAIN_OF_LABEL).alias("domain"))
              .where("l_id IS NOT NULL AND domain IS NOT NULL").groupBy("l_id").agg(F.max("domain").alias("domain"))
              .orderBy(F.xxhash64("l_id"), "l_id").limit(settings.labelled_documents))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    words = texts.join(F.broadcast(known), texts["doc_id"] == known["l_id"]).select("domain", words_of(F.col("text")).alias("words"))
-    cells = words.select("domain", F.explode(F.concat(F.array(F.lit(-1)), _cells(F.col("words"), settings))).alias("cell"))
-    counts = [[0.0] * settings.cells for _ in DOMAINS]
-    documents = [0.0] * len(DOMAINS)
-    for row in cells.groupBy("domain", "cell").agg(F.count("*").alias("n")).collect():
-        if row["cell"] < 0:
-            documents[row["domain"]] = float(row["n"])
-        else:
-            counts[row["domain"]][row["cell"]] = float(row["n"])
-    logs = []
-    for values in counts:
-        total = sum(values) + settings.smoothing * settings.cells
-        logs.append([math.log((v + settings.smoothing) / total) if sum(values) else -math.log(settings.cells) for v in values])
-    priors = [math.log((n + 0.01) / (sum(documents) + 0.01 * len(DOMAINS))) for n in documents]
-    return DomainModel([[x - y for x, y in zip(row, logs[0])] for row in logs], priors)
+    learned = _with_seen(texts.join(F.broadcast(known), texts["doc_id"] == known["l_id"]))
+    held = F.explode(F.concat(F.array(F.lit(None).cast("long")), F.array_distinct("seen"))).alias("word")
+    counts = store_once(learned.select("domain", held).groupBy("word").agg(
+        *[F.count_if(F.col("domain") == d).cast("double").alias(f"c{d}") for d in range(len(DOMAINS))]), "words")
+    whole = counts.where("word IS NULL").first()
+    n = [whole[f"c{d}"] if whole else 0.0 for d in range(len(DOMAINS))]
+    priors = [math.log((x + 0.01) / (sum(n) + 0.01 * len(DOMAINS))) for x in n]
+    base, weights = [0.0] * len(DOMAINS), [{} for _ in DOMAINS]
+    for d in range(1, len(DOMAINS)):
+        base[d] = priors[d] - priors[0]
+        if not n[d] or not n[0]:
+            continue
+        ours, others = F.col(f"c{d}"), F.col("c0")
+        told = (counts.where(F.col("word").isNotNull() & (ours / n[d] > others / n[0]))
+                .select("word", ours.alias("ours"), others.alias("others"), _surprise(ours, others, n[d], n[0]).alias("g"))
+                .where(F.col("g") >= settings.significance).orderBy(F.desc("g"), "word").limit(settings.features))
+        for row in told.collect():
+            p, q = ((x + settings.smoothing) / (of + 2 * settings.smoothing) for x, of in ((row["ours"], n[d]), (row["others"], n[0])))
+            absent = math.log((1 - p) / (1 - q))
+            base[d] += absent
+            weights[d][row["word"]] = math.log(p / q) - absent
+    return DomainModel(base, weights)
 
 
 def with_posteriors(rows: DataFrame, model: DomainModel, settings: MixSettings = MixSettings()) -> DataFrame:
     """``rows`` (with a column text) with n_tokens and p, the rounded posterior per domain; in one pass, no shuffle."""
-    counted = rows.withColumn("words", words_of(F.col("text"))).withColumn("cells", _cells(F.col("words"), settings))
+    every = sorted({word for weights in model.weights for word in weights})
+    listed = F.array(*[F.lit(w).cast("long") for w in every]).cast("array<bigint>")
+    counted = _with_seen(rows).withColumn("hits", F.array_intersect("seen", listed))
 
-    def likelihood(ratios: list[float]) -> Column:
-        table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-        return F.aggregate("cells", F.lit(0.0), lambda done, cell: done + F.get(table, cell))
+    def odds(d: int) -> Column:
+        table = F.array(*[F.lit(model.weights[d].get(w, 0.0)) for w in every]).cast("array<double>")
+        return F.aggregate("hits", F.lit(model.base[d]), lambda done, word: done + F.get(table, F.array_position(listed, word).cast("int") - 1))
 
-    logits = counted.withColumns({
-        f"_logit{d}": settings.sharpness * likelihood(model.ratios[d]) + (model.priors[d] - model.priors[0])
-        for d in range(1, len(DOMAINS))})
+    logits = counted.withColumns({f"_logit{d}": odds(d) for d in range(1, len(DOMAINS))})
     names = [F.lit(0.0), *[F.col(f"_logit{d}") for d in range(1, len(DOMAINS))]]
     top = logits.withColumn("_top", F.greatest(*names))
     parts = [F.exp(x - F.col("_top")) for x in names]
     others = [F.round(x / sum(parts[1:], parts[0]) * settings.levels) / settings.levels for x in parts[1:]]
     p = F.array((F.lit(1.0) - sum(others[1:], others[0])), *others)
-    return top.withColumns({"n_tokens": F.size("words").cast("long"), "p": p}).drop("words", "cells", "_top", *[f"_logit{d}" for d in range(1, len(DOMAINS))])
+    return top.withColumns({"n_tokens": F.size("words").cast("long"), "p": p}).drop(
+        "words", "seen", "hits", "_top", *[f"_logit{d}" for d in range(1, len(DOMAINS))])
 
 
-def _rates(steps: list[tuple[float, list[float]]]) -> tuple[Column, Column]:
+def _rates(steps: list[tuple[float, list[float]]], most: float | None) -> tuple[Column, Column]:
     """A document's rate after these steps, and the point from which the next one would go."""
+    bounded = lambda x: F.greatest(F.lit(0.0), x if most is None else F.least(F.lit(float(most)), x))
     kind = "array<struct<push:double,pull:array<double>>>"
     table = F.from_json(F.lit(json.dumps([{"push": push, "pull": pull} for push, pull in steps])), kind)
     dot = lambda pull: sum((F.get(pull, d) * F.get("p", d) for d in range(1, len(DOMAINS))), F.get(pull, F.lit(0)) * F.get("p", F.lit(0)))
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("at"))
     walked = F.aggregate(table, start, lambda done, s: F.struct(
-        F.greatest(F.lit(0.0), done["at"] - dot(s["pull"])).alias("rate"),
-        (F.greatest(F.lit(0.0), done["at"] - dot(s["pull"])) * (1 + s["push"]) - done["rate"] * s["push"]).alias("at")))
+        bounded(done["at"] - dot(s["pull"])).alias("rate"),
+        (bounded(done["at"] - dot(s["pull"])) * (1 + s["push"]) - done["rate"] * s["push"]).alias("at")))
     return walked["rate"], walked["at"]
 
 
@@ -116,7 +148,8 @@ def fit_rates(members: DataFrame, settings: MixSettings = MixSettings()) -> list
 
     Minimised is the squared distance between expected and target tokens per domain. The total is what leaves the domain
     with the largest weight at its present size. Each step is one aggregate over the members, pre-aggregated by their
-    rounded posteriors; what comes back is one number per domain. No tokens: no steps.
+    rounded posteriors; what comes back is one number per domain. Where bounded rates can't meet a target, it ends when
+    a step changes next to nothing. No tokens: no steps.
     """
     k, weights = len(DOMAINS), [settings.weights[d] for d in DOMAINS]
     cells = store_once(members.groupBy("p").agg(F.sum("n_tokens").cast("double").alias("t")).coalesce(1), "mixture")
@@ -137,19 +170,22 @@ def fit_rates(members: DataFrame, settings: MixSettings = MixSettings()) -> list
         largest = max(map(abs, vector)) or 1.0
         vector = [v / largest for v in vector]
     steps: list[tuple[float, list[float]]] = []
+    before = [math.inf] * k
     for i in range(settings.steps):
-        _, at = _rates(steps)
+        _, at = _rates(steps, settings.most_rate)
         sums = cells.withColumn("at", at).agg(*[F.sum(F.col("t") * F.col("at") * p[d]).alias(f"s{d}") for d in range(k)]).first()
         miss = [sums[d] / total - target[d] for d in range(k)]
-        if max(map(abs, miss)) < settings.tolerance:
+        stalled = settings.most_rate is not None and i > 5 and max(abs(x - y) for x, y in zip(miss, before)) < settings.tolerance / 2
+        if max(map(abs, miss)) < settings.tolerance or stalled:
             break
+        before = miss
         steps.append((i / (i + 3), [m / (1.05 * largest) for m in miss]))
     return steps
 
 
-def with_rates(members: DataFrame, steps: list[tuple[float, list[float]]], key: Column) -> DataFrame:
+def with_rates(members: DataFrame, steps: list[tuple[float, list[float]]], key: Column, most: float | None = None) -> DataFrame:
     """``members`` with rate, and copies: the rate rounded down or up by a draw that ``key`` alone decides."""
-    rate = F.round(_rates(steps)[0], 6)
+    rate = F.round(_rates(steps, most)[0], 6)
     draw = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1_000_000)) / 1_000_000
     return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
 
@@ -163,7 +199,7 @@ def mixture(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSetti
     model = learn_domains(docs, labels, settings)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).drop("text"), "members")
-    rated = with_rates(members, fit_rates(members, settings), F.col("key"))
+    rated = with_rates(members, fit_rates(members, settings), F.col("key"), settings.most_rate)
     return rated.select("doc_id", "n_tokens", *[F.get("p", F.lit(d)).alias(f"p_{name}") for d, name in enumerate(DOMAINS)], "rate", "copies")
 
 
@@ -173,5 +209,5 @@ def resample(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSett
     model = learn_domains(docs, labels, settings)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).select("row", "n_tokens", "p", "key"), "members")
-    rated = with_rates(members, fit_rates(members.select("n_tokens", "p"), settings), F.col("key")).where("copies > 0")
+    rated = with_rates(members, fit_rates(members.select("n_tokens", "p"), settings), F.col("key"), settings.most_rate).where("copies > 0")
     return rated.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

@@ -288,6 +288,24 @@ def test_mixing(docs, labels, odd, none):
     assert mixing.mixture(none, labels).collect() == []
 
 
+def test_domains_of_unseen_documents(spark, sf_dir):
+    """Learned from one half of the labels, judged by the other."""
+    larger = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{larger}/{name}.parquet") for name in ("documents", "labels"))
+    model = mixing.learn_domains(docs, labels.where("crc32(CAST(doc_id AS STRING)) % 2 = 0"))
+    judged = mixing.with_posteriors(docs.select("doc_id", "text"), model).join(
+        labels.where("crc32(CAST(doc_id AS STRING)) % 2 = 1"), "doc_id").selectExpr(
+        "p[0] > 0.5 AS taken_for_clean", "CASE WHEN toxic = 1 THEN 2 WHEN quality = 0 THEN 1 ELSE 0 END AS domain").toPandas()
+    share = judged.groupby("domain").taken_for_clean.mean()
+    assert share[0] > 0.99 and share[1] < 0.1 and share[2] < 0.25  # about a tenth of the toxic labels have no toxic word
+
+
+def test_bounded_rates(docs, labels):
+    rows = mixing.mixture(docs, labels, mixing.MixSettings(most_rate=1.0)).toPandas()
+    assert rows.rate.max() <= 1 and rows.copies.max() <= 1
+    assert (rows.rate[rows.p_clean == 1] > 0.99).all()
+
+
 def test_url_filters(spark):
     captures = spark.createDataFrame(
         [(1, "https://u@A.b.example.com:80/x?q#f", "2024-02-01"), (1, "https://u@A.b.example.com:80/x?q#f", "2024-02-01"), (2, None, "2024-02-01"),
