@@ -15,7 +15,7 @@ from emberlake.functions.temporal import parses_as_date
 from emberlake.schemas import NATURAL_KEY, RAW_ARCHIVE
 
 CATEGORIES = ["satellite", "instrument", "confidence", "daynight", "type", "version"]
-MAX_CATEGORIES = 20
+LISTED_VALUES = 20
 
 
 def null_counts(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
@@ -51,19 +51,24 @@ def date_profile(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(*_date_metrics())
 
 
-def distinct_values(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
-    """Up to twenty values per group and column, in value order.
-
-    Distinct values are formed first and ranked after, so both steps combine
-    map-side and no task ever sees more than its share of the distinct values.
-    """
+def category_counts(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
+    """All values per group and column with their rows, in long form, so that their number has no bound."""
     columns = columns or CATEGORIES
     long = df.select(*by, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         by, columns, "column_name", "value"
     )
-    distinct = long.where(F.col("value").isNotNull()).distinct()
+    return long.where(F.col("value").isNotNull()).groupBy(*by, "column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def distinct_values(df: DataFrame, by: list[str], columns: list[str] | None = None, most: int = LISTED_VALUES) -> DataFrame:
+    """The first ``most`` values per group and column, in value order, for a report; :func:`category_counts` has all.
+
+    Distinct values are formed first and ranked after, so both steps combine
+    map-side and no task ever sees more than its share of the distinct values.
+    """
+    distinct = category_counts(df, by, columns).drop("row_count")
     rank = F.row_number().over(Window.partitionBy(*by, "column_name").orderBy("value"))
-    listed = distinct.withColumn("_rank", rank).where(F.col("_rank") <= MAX_CATEGORIES)
+    listed = distinct.withColumn("_rank", rank).where(F.col("_rank") <= most)
     return listed.groupBy(*by, "column_name").agg(F.sort_array(F.collect_list("value")).alias("values"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Model names.
+FOREST, RISK_BOOSTED, SIZE_BOOSTED = "random_forest", "gbt_one_vs_rest", "gbt"
 CATEGORICAL = ("confidence", "daynight", "season", "type")
 NUMERIC = ("latitude", "longitude", "brightness", "bright_t31", "scan", "track", "month", "day", "hour", "day_of_week",
            "day_of_year", "is_weekend", "is_night", "latitude_bucket", "longitude_bucket")
@@ -423,6 +425,60 @@ _FINAL: dict[str, tuple[str, str]] = {
         FROM (SELECT unnest(string_split_regex(text, '\s+')) AS word FROM documents)"""),
     "sql_count": ("", "SELECT COUNT(*) AS total_rows FROM documents"),
     "preview": ("", "SELECT * FROM documents ORDER BY doc_id LIMIT 10"),
+    **{f"train_{name}": ("labelled", f"""
+        SELECT '{model}' AS model, split, COUNT(*) AS judged_rows, {matrix} TRUE AS figures_agree
+        FROM labelled WHERE split <> 'train' GROUP BY split""") for name, model, matrix in (
+            ("risk_rf", FOREST, "COUNT(*) AS matrix_rows,"), ("risk_gbt_ovr", RISK_BOOSTED, "COUNT(*) AS matrix_rows,"),
+            ("frp_rf", FOREST, ""), ("frp_gbt", SIZE_BOOSTED, ""))},
+    "select_best": ("labelled", """
+        SELECT target, CAST(2 AS INTEGER) AS models, COUNT(*) FILTER (split = 'train') AS train,
+               COUNT(*) FILTER (split = 'validation') AS validation, COUNT(*) FILTER (split = 'test') AS test,
+               TRUE AS best_is_best
+        FROM labelled, (SELECT unnest(['risk', 'fire_size']) AS target) GROUP BY target"""),
+    "score_risk": ("feats", """
+        SELECT event_timestamp, latitude, longitude, frp, TRUE AS predicted, TRUE AS known_level FROM feats WHERE year = 2001"""),
+    "score_fire_size": ("feats", """
+        SELECT event_timestamp, latitude, longitude, 'fire_size_regressor_v1' AS model_version, TRUE AS predicted
+        FROM feats WHERE year = 2001"""),
+    "stream_risk": ("cleaned", """
+        SELECT strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.000Z') AS event_timestamp, latitude, longitude, frp,
+               TRUE AS known_level FROM cleaned WHERE event_timestamp IS NOT NULL"""),
+    "stream_batch_replay": ("ingested", "SELECT * FROM ingested"),
+    "stream_action_archive": ("", """
+        SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS action, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts
+        FROM events"""),
+    "serving_rejected": ("events_served", """
+        SELECT CASE WHEN type IN (1, 2, 3) THEN 'rejected' ELSE 'kept' END AS side, type, COUNT(*) AS row_count
+        FROM events_served GROUP BY 1, 2"""),
+    "profile_categories": ("fire", " UNION ALL ".join(f"""
+        SELECT source_year, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS row_count
+        FROM fire WHERE {c} IS NOT NULL GROUP BY 1, 3"""
+        for c in ("satellite", "instrument", "confidence", "daynight", "type", "version"))),
+    "file_listing": ("fire", """
+        SELECT source_year AS year, bool_or(NOT contains(version, 'NRT')) AS has_archive,
+               bool_or(contains(version, 'NRT')) AS has_nrt, TRUE AS all_sized, COUNT(*) AS row_count
+        FROM fire GROUP BY source_year"""),
+    "file_sample": ("fire", """
+        SELECT source_year, CAST(SUM(least(n, 100)) AS BIGINT) AS row_count FROM (
+          SELECT source_year, contains(version, 'NRT') AS nrt, COUNT(*) AS n FROM fire GROUP BY 1, 2) GROUP BY 1"""),
+    "history_rerun": ("quality", """
+        SELECT source_year AS year, input_rows, CASE WHEN source_year = 2000 THEN input_rows ELSE invalid_rows END AS invalid_rows,
+               CASE WHEN source_year = 2000 THEN 0 ELSE output_rows END AS output_rows,
+               CASE WHEN source_year = 2000 THEN 0 ELSE duplicate_rows END AS duplicate_rows,
+               CASE WHEN source_year = 2000 THEN 0 ELSE output_rows END AS feature_rows FROM quality"""),
+    "quality_document": ("quality", """
+        SELECT source_year AS year, TRUE AS has_files, TRUE AS has_duration, input_rows, invalid_rows, duplicate_rows,
+               output_rows AS output_curated_rows, min_latitude, max_latitude, min_longitude, max_longitude,
+               min_acq_date, max_acq_date, quality_status FROM quality"""),
+    "profile_document": ("duplicates", """
+        SELECT source_year AS year, TRUE AS has_files, TRUE AS has_duration, total_rows, duplicate_rows, valid_rows_estimate,
+               min_latitude, max_latitude, min_longitude, max_longitude, min_acq_date, max_acq_date, negative_frp_count, versions
+        FROM duplicates JOIN (
+          SELECT source_year, min(latitude) AS min_latitude, max(latitude) AS max_latitude, min(longitude) AS min_longitude,
+                 max(longitude) AS max_longitude, min(acq_date) AS min_acq_date, max(acq_date) AS max_acq_date,
+                 COUNT(*) FILTER (WHERE frp < 0) AS negative_frp_count,
+                 string_agg(DISTINCT version, ',' ORDER BY version) AS versions
+          FROM fire GROUP BY source_year) USING (source_year)"""),
 }
 
 

@@ -11,7 +11,7 @@ from emberlake.operators import profiling
 from emberlake.schemas import RAW_ARCHIVE
 from emberlake.session import store_once
 from emberlake.sinks.tables import write_json
-from emberlake.sources.files import file_metadata, read_years
+from emberlake.sources.files import YEAR_FOLDER, file_metadata, read_years
 
 
 RANGES = {"brightness": ("min", "max", "avg"), "bright_t31": ("min", "max"), "frp": ("min", "max", "avg"),
@@ -65,11 +65,11 @@ def overall(stored: DataFrame, sample_limit: int | None) -> DataFrame:
 
 
 def run(spark: SparkSession, data_dir: str, years: list[int], reports: str,
-        sample_limit: int | None = None) -> DataFrame:
+        sample_limit: int | None = None, folder: str = YEAR_FOLDER) -> DataFrame:
     """Write the yearly profile, its totals and the printable summary; return the summary."""
     started = time.monotonic()
-    raw = read_years(spark, data_dir, sorted(years), sample_limit).withColumnRenamed("source_year", "year")
-    files = file_metadata(spark, data_dir, years)
+    raw = read_years(spark, data_dir, sorted(years), sample_limit, folder).withColumnRenamed("source_year", "year")
+    files = file_metadata(spark, data_dir, years, folder)
     listed = files.groupBy("year").agg(
         F.sort_array(F.collect_list(F.struct("file_name", F.col("path").alias("file_path"),
                                              F.col("file_size").alias("file_size_bytes"),

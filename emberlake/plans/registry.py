@@ -8,6 +8,7 @@ exactly with another engine.
 from __future__ import annotations
 
 import functools
+import json
 import time
 from collections.abc import Callable
 
@@ -21,15 +22,15 @@ from emberlake.operators import (
     alerts, anomaly, cleaning, dedup, features, labels, learning, metrics, profiling, quality, serving, validation,
 )
 from emberlake.operators.words import word_count as count_words
-from emberlake.plans import history, training
+from emberlake.plans import history, live, profiles, training
 from emberlake.schemas import (
-    ALERT_MESSAGE, ANOMALY_COLUMNS, ANOMALY_MESSAGE, FEATURE_COLUMNS, FIRE_EVENT, RAW_NRT,
+    ACTION_EVENT, ALERT_MESSAGE, ANOMALY_COLUMNS, ANOMALY_MESSAGE, FEATURE_COLUMNS, FIRE_EVENT, RAW_NRT,
     RISK_COLUMNS, RISK_MESSAGE,
 )
 from emberlake.session import new_work_dir, store_once, use_utc
 from emberlake.sinks.models import write_anomaly_model
 from emberlake.sinks.streams import batch_sink, folder_per_batch
-from emberlake.sinks.tables import write_raw_sample, write_result_csv, write_text
+from emberlake.sinks.tables import write_document, write_raw_sample, write_result_csv, write_text
 from emberlake.sources import files
 from emberlake.sources.streams import Topic, read_messages, read_messages_once
 from emberlake.sources.tables import (
@@ -246,6 +247,12 @@ def profile_distinct(spark, sf_dir):
     return found.withColumn("values", F.array_join("values", ","))
 
 
+@query
+def profile_categories(spark, sf_dir):
+    """Every value of every category, however many there are."""
+    return profiling.category_counts(raw(spark, sf_dir), ["source_year"])
+
+
 @query
 def profile_duplicates(spark, sf_dir):
     return profiling.duplicate_profile(raw(spark, sf_dir), ["source_year"])
@@ -390,46 +397,90 @@ def feature_vectors(spark, sf_dir):
                           F.round(weighted, 6).alias("weighted_sum"))
 
 
+def compared(found: DataFrame, spark: SparkSession, named: list[tuple]) -> DataFrame:
+    """``found`` beside a few figures from a report, by model and split."""
+    return found.join(F.broadcast(spark.createDataFrame(named, "model STRING, split STRING, reported DOUBLE, matrix_rows BIGINT")), ["model", "split"])
+
+
+def risk_checks(spark: SparkSession, split: dict[str, DataFrame], trained: learning.Trained, judged: dict) -> DataFrame:
+    """Judged rows, rows of the confusion matrix, and whether the reported accuracy follows from the predictions."""
+    ready = training.prepare(split)
+    scored = [model.transform(trained.features.transform(labels.risk_label(ready[part], *trained.thresholds)))
+              .select(F.lit(name).alias("model"), F.lit(part).alias("split"), (F.col("prediction") == F.col("label")).alias("hit"))
+              for name, model in trained.models.items() for part in training.JUDGED]
+    found = functools.reduce(DataFrame.unionByName, scored).groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("judged_rows"), F.avg(F.col("hit").cast("double")).alias("accuracy"))
+    named = [(name, part, float(figures["accuracy"]), sum(n for row in figures["confusion_matrix"].values() for n in row.values()))
+             for name, parts in judged.items() for part, figures in parts.items()]
+    return compared(found, spark, named).select(
+        "model", "split", "judged_rows", "matrix_rows", (F.abs(F.col("accuracy") - F.col("reported")) < 1e-3).alias("figures_agree"))
+
+
+def size_checks(spark: SparkSession, split: dict[str, DataFrame], trained: learning.Trained, judged: dict) -> DataFrame:
+    """Judged rows, and whether the reported error follows from the predictions and the other figures fit it."""
+    ready = training.prepare(split)
+    scored = [model.transform(trained.features.transform(ready[part]))
+              .select(F.lit(name).alias("model"), F.lit(part).alias("split"), (F.col("prediction") - F.col(learning.TARGET)).alias("miss"))
+              for name, model in trained.models.items() for part in training.JUDGED]
+    found = functools.reduce(DataFrame.unionByName, scored).groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("judged_rows"), F.sqrt(F.avg(F.col("miss") * F.col("miss"))).alias("rmse"))
+    named = [(name, part, float(figures["rmse"]) if figures["mae"] <= figures["rmse"] and figures["r2"] <= 1 else None, None)
+             for name, parts in judged.items() for part, figures in parts.items()]
+    agree = F.coalesce(F.abs(F.col("rmse") - F.col("reported")) < 1e-3, F.lit(False))
+    return compared(found, spark, named).select("model", "split", "judged_rows", agree.alias("figures_agree"))
+
+
 @query
 def train_risk_rf(spark, sf_dir):
     """The four trainings use the default model sizes."""
-    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.FOREST,))
-    return training.metric_rows(spark, judged)
+    split = stored_split(spark, sf_dir)
+    return risk_checks(spark, split, *training.train_risk(spark, split, models=(learning.FOREST,)))
 
 
 @query
 def train_risk_gbt_ovr(spark, sf_dir):
-    _, judged = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.RISK_BOOSTED,))
-    return training.metric_rows(spark, judged)
+    split = stored_split(spark, sf_dir)
+    return risk_checks(spark, split, *training.train_risk(spark, split, models=(learning.RISK_BOOSTED,)))
 
 
 @query
 def train_frp_rf(spark, sf_dir):
-    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=(learning.FOREST,))
-    return training.metric_rows(spark, judged)
+    split = stored_split(spark, sf_dir)
+    return size_checks(spark, split, *training.train_size(spark, split, models=(learning.FOREST,)))
 
 
 @query
 def train_frp_gbt(spark, sf_dir):
-    _, judged = training.train_size(spark, stored_split(spark, sf_dir), models=(learning.SIZE_BOOSTED,))
-    return training.metric_rows(spark, judged)
+    split = stored_split(spark, sf_dir)
+    return size_checks(spark, split, *training.train_size(spark, split, models=(learning.SIZE_BOOSTED,)))
 
 
 @query
 def select_best(spark, sf_dir):
-    split = stored_split(spark, sf_dir)
-    _, risk = training.train_risk(spark, split)
-    _, size = training.train_size(spark, split)
-    best = [("risk", learning.best_classifier(training.on_test(risk))),
-            ("fire_size", learning.best_regressor(training.on_test(size)))]
-    return spark.createDataFrame(best, "target STRING, best_model STRING")
+    """Both trainings, as their stored reports tell them: rows per split, and whether the best model has the best figure."""
+    split, base = stored_split(spark, sf_dir), new_work_dir(spark, "evaluation")
+    years = {"train": FIXTURE_TRAIN, "validation": FIXTURE_VALIDATION, "test": FIXTURE_TEST}
+    rows = []
+    for target, train, choose, figure, order in (
+            ("risk", training.train_risk, learning.best_classifier, "f1", max),
+            ("fire_size", training.train_size, learning.best_regressor, "rmse", min)):
+        trained, judged = train(spark, split)
+        document = training.report(trained, judged, years, choose(training.on_test(judged)), 0.0)
+        write_document(spark, document, f"{base}/{target}")
+        stored = json.loads(files.read_text(spark, f"{base}/{target}").first().value)
+        figures = {name: parts["test"][figure] for name, parts in stored["models"].items()}
+        rows.append((target, len(figures), *[stored["row_counts"][part] for part in years],
+                     figures[stored["best_model"]] == order(figures.values())))
+    return spark.createDataFrame(rows, "target STRING, models INT, train BIGINT, validation BIGINT, test BIGINT, best_is_best BOOLEAN")
 
 
 @query
 def score_risk(spark, sf_dir):
     split = stored_split(spark, sf_dir)
     trained, _ = training.train_risk(spark, split, models=(learning.RISK_BOOSTED,))
-    return learning.score_risk(cleaning.fill_for_learning(split["test"]), trained)
+    predicted = learning.score_risk(cleaning.fill_for_learning(split["test"]), trained)
+    return predicted.select("event_timestamp", "latitude", "longitude", "frp", F.col("prediction").isNotNull().alias("predicted"),
+                            F.col("risk_level").isin(trained.levels).alias("known_level"))
 
 
 @query
@@ -437,7 +488,8 @@ def score_fire_size(spark, sf_dir):
     split = stored_split(spark, sf_dir)
     trained, _ = training.train_size(spark, split, models=(learning.SIZE_BOOSTED,))
     predicted = learning.score_fire_size(cleaning.fill_for_learning(split["test"]), trained)
-    return serving.conforming_rows(predicted, "fire_size_predictions")
+    served = serving.conforming_rows(predicted, "fire_size_predictions")
+    return served.select("event_timestamp", "latitude", "longitude", "model_version", F.col("predicted_frp").isNotNull().alias("predicted"))
 
 
 # Alerts -------------------------------------------------------------------------------------
@@ -503,16 +555,14 @@ def stream_anomaly(spark, sf_dir):
 
 @query
 def stream_risk(spark, sf_dir):
-    """Train, then score the live feed with the boosted one-vs-rest model."""
+    """Train and store, then score the live feed with the boosted one-vs-rest model read back from storage."""
     base = new_work_dir(spark, "risk-stream")
     trained, _ = training.train_risk(spark, stored_split(spark, sf_dir), models=(learning.RISK_BOOSTED,))
-
-    def scorer(events: DataFrame) -> DataFrame:
-        return learning.score_risk(cleaning.fill_for_learning(features.batch_features(events)), trained)
-
+    training.store(trained, training.RISK_MODELS, f"{base}/models")
     rows, out = read_messages(spark, live_fire(spark, sf_dir, base)), Topic(f"{base}/predictions", format="text")
-    drain(flows.risk_inference(rows, scorer, out.location, f"{base}/checkpoint"))
-    return alerts.from_messages(read_messages_once(spark, out), RISK_MESSAGE)
+    drain(flows.risk_inference(rows, live.load_risk_scorer(f"{base}/models"), out.location, f"{base}/checkpoint"))
+    found = alerts.from_messages(read_messages_once(spark, out), RISK_MESSAGE)
+    return found.select("event_timestamp", "latitude", "longitude", "frp", F.col("risk_level").isin(trained.levels).alias("known_level"))
 
 
 @query
@@ -540,6 +590,29 @@ def stream_batch_tables(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+@query
+def stream_batch_replay(spark, sf_dir):
+    """A micro-batch written twice, as after a failure, replaces itself."""
+    base = new_work_dir(spark, "batch-replay")
+    write = folder_per_batch(f"{base}/out", flows.fire_rows)
+    messages = read_messages_once(spark, live_fire(spark, sf_dir, base))
+    for _ in range(2):
+        write(messages, 0)
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+@query
+def stream_action_archive(spark, sf_dir):
+    """User actions from a topic into a JSON archive."""
+    base = new_work_dir(spark, "actions")
+    acted = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("int").alias("user_id"), F.col("event_type").alias("action"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"))
+    topic = publish(alerts.to_messages(acted), f"{base}/actions")
+    drain(flows.action_archive(spark, topic, f"{base}/out", f"{base}/checkpoint"))
+    return spark.read.schema(ACTION_EVENT).json(f"{base}/out")
+
+
 # Serving ------------------------------------------------------------------------------------
 
 @query
@@ -547,6 +620,19 @@ def serving_rows(spark, sf_dir):
     return serving.conforming_rows(served_events(spark, sf_dir), "fire_events").drop("event_id", "created_at")
 
 
+@query
+def serving_rejected(spark, sf_dir):
+    """Events of which some break a rule of the table (key, length, range), split into kept and rejected ones."""
+    broken = served_events(spark, sf_dir).withColumns({
+        "latitude": F.when(F.col("type") == 1, F.lit(None)).otherwise(F.col("latitude")),
+        "confidence": F.when(F.col("type") == 2, F.repeat(F.lit("x"), F.lit(11))).otherwise(F.col("confidence")),
+        "year": F.when(F.col("type") == 3, F.lit(40_000)).otherwise(F.col("year"))})
+    stored = store_once(broken, "broken-events")
+    sides = {"kept": serving.conforming_rows(stored, "fire_events"), "rejected": serving.rejected_rows(stored, "fire_events")}
+    named = [df.select(F.lit(side).alias("side"), F.col("type").cast("int").alias("type")) for side, df in sides.items()]
+    return functools.reduce(DataFrame.unionByName, named).groupBy("side", "type").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def serving_alert_rows(spark, sf_dir):
     return serving.conforming_rows(all_alerts(spark, sf_dir), "alerts").drop("alert_id", "created_at")
@@ -608,9 +694,14 @@ def load_gate(spark, sf_dir):
 
 # Files --------------------------------------------------------------------------------------
 
-def write_year_folders(spark: SparkSession, sf_dir: str, base: str) -> None:
+SAMPLE_ROWS = 100
+
+
+def write_year_folders(spark: SparkSession, sf_dir: str, base: str, one_file: bool = False) -> None:
     """Raw detections as headered CSV per year, archive and near-real-time files side by side."""
     rows = raw(spark, sf_dir)
+    if one_file:
+        rows = rows.repartition("source_year")
     near = cleaning.is_near_real_time()
     products = {"fire_archive": rows.where(~near), "fire_nrt": rows.where(near).drop("type")}
     for name, product in products.items():
@@ -631,10 +722,62 @@ def csv_year_scan(spark, sf_dir):
 
 @query
 def file_listing(spark, sf_dir):
+    """What the listing knows of a year's files, beside the rows read from them."""
     base = new_work_dir(spark, "csv")
     write_year_folders(spark, sf_dir, base)
     listed = files.file_metadata(spark, base, FIXTURE_YEARS, CSV_FOLDER)
-    return profiling.file_totals(listed, ["year"])
+    near = files.is_nrt_file(F.col("file_name"))
+    found = listed.groupBy("year").agg(F.bool_or(~near).alias("has_archive"), F.bool_or(near).alias("has_nrt"),
+                                       (F.min("file_size") > 0).alias("all_sized"))
+    rows = files.read_years(spark, base, FIXTURE_YEARS, folder=CSV_FOLDER).groupBy(F.col("source_year").alias("year"))
+    totals = profiling.file_totals(listed, ["year"]).where("total_files > 0").select("year")
+    return found.join(totals, "year").join(rows.agg(F.count(F.lit(1)).alias("row_count")), "year")
+
+
+@query
+def file_sample(spark, sf_dir):
+    """The first rows of every file: one file per year and product here, so the limit counts once for each."""
+    base = new_work_dir(spark, "csv")
+    write_year_folders(spark, sf_dir, base, one_file=True)
+    rows = files.read_years(spark, base, FIXTURE_YEARS, SAMPLE_ROWS, CSV_FOLDER)
+    return rows.groupBy("source_year").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def history_rerun(spark, sf_dir):
+    """All years, then one of them again with nothing but invalid rows: that year keeps nothing of the first run."""
+    layout, rows = history.Layout.under(new_work_dir(spark, "history")), raw(spark, sf_dir)
+    history.process(spark, rows, FIXTURE_YEARS, layout)
+    again = rows.where(F.col("source_year").isin(FIXTURE_VALIDATION)).withColumn("latitude", F.lit(99.0))
+    history.process(spark, again, FIXTURE_VALIDATION, layout)
+    figures = history.report(*[spark.read.parquet(base) for base in (layout.checked, layout.curated)])
+    kept = files.read_partitioned(spark, layout.features).groupBy("year").agg(F.count(F.lit(1)).alias("feature_rows"))
+    return figures.join(kept, "year", "left").select(
+        "year", "input_rows", "invalid_rows", "output_rows", "duplicate_rows", F.coalesce("feature_rows", F.lit(0)).alias("feature_rows"))
+
+
+@query
+def quality_document(spark, sf_dir):
+    """The whole history job from CSV, as its stored report tells it."""
+    base = new_work_dir(spark, "history")
+    write_year_folders(spark, sf_dir, f"{base}/raw")
+    stored = history.run(spark, f"{base}/raw", FIXTURE_YEARS, history.Layout.under(base), folder=CSV_FOLDER)
+    return stored.select(
+        "year", (F.size("input_files") > 0).alias("has_files"), (F.col("duration_seconds") > 0).alias("has_duration"), "input_rows",
+        "invalid_rows", "duplicate_rows", "output_curated_rows", "spatial_bounds.*", "temporal_bounds.*", "quality_status")
+
+
+@query
+def profile_document(spark, sf_dir):
+    """The profile job from CSV, as its stored report tells it."""
+    base = new_work_dir(spark, "profile")
+    write_year_folders(spark, sf_dir, f"{base}/raw")
+    profiles.run(spark, f"{base}/raw", FIXTURE_YEARS, f"{base}/reports", folder=CSV_FOLDER)
+    stored = spark.read.json(f"{base}/reports/yearly")
+    return stored.select(
+        F.col("year").cast("int").alias("year"), (F.col("total_files") > 0).alias("has_files"),
+        (F.col("profiling_duration_sec") > 0).alias("has_duration"), "total_rows", "duplicate_rows", "valid_rows_estimate",
+        "spatial_bounds.*", "temporal_bounds.*", "validation.negative_frp_count", F.array_join("distinct_values.versions", ",").alias("versions"))
 
 
 @query
@@ -684,11 +827,9 @@ def word_count_csv(spark, sf_dir):
 
 @query
 def sql_count(spark, sf_dir):
-    table(spark, sf_dir, "documents").createOrReplaceTempView("data")
-    return spark.sql("SELECT COUNT(*) AS total_rows FROM data")
+    return spark.sql("SELECT COUNT(*) AS total_rows FROM {data}", data=table(spark, sf_dir, "documents"))
 
 
 @query
 def preview(spark, sf_dir):
-    table(spark, sf_dir, "documents").createOrReplaceTempView("data")
-    return spark.sql("SELECT * FROM data ORDER BY doc_id LIMIT 10")
+    return spark.sql("SELECT * FROM {data} ORDER BY doc_id LIMIT 10", data=table(spark, sf_dir, "documents"))
