@@ -225,15 +225,24 @@ def _leaf(percent: int) -> Callable:
     return run
 
 
-def _open_cells(members: DataFrame) -> DataFrame:
-    """Cells that still hold several components, one of each membership; ``size`` is a cell's sum of set sizes."""
+def _open_cells(members: DataFrame, all_home: bool = False) -> DataFrame:
+    """Cells that still hold several components, one of each membership; ``size`` is a cell's sum of set sizes.
+
+    Cells with the same members are one cell, the home of every set that has its home in any of them.
+    """
     facts = members.groupBy("cell").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.max("home").alias("home"),
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("x"),
         F.bit_xor(F.xxhash64("set_id", F.lit(2))).alias("y"), F.sum("n_shingles").alias("size"))
-    kept = (facts.where("least < most AND home").groupBy("n", "x", "y")
-            .agg(F.min(F.struct("cell", "size")).alias("kept")).select("kept.*"))
-    return members.drop("size").join(kept, "cell")
+    alike = facts.where("least < most AND home")
+    if all_home:
+        kept = alike.groupBy("n", "x", "y").agg(F.min(F.struct("cell", "size")).alias("kept")).select("kept.*")
+        return members.join(kept, "cell")
+    merged = (alike.withColumn("into", F.min("cell").over(Window.partitionBy("n", "x", "y")))
+              .select("cell", "into", "size"))
+    return (members.join(merged, "cell").groupBy("into", "set_id")
+            .agg(F.first("n_shingles").alias("n_shingles"), F.first("label").alias("label"), F.max("home").alias("home"),
+                 F.first("size").alias("size")).withColumnRenamed("into", "cell"))
 
 
 def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFrame:
@@ -294,7 +303,7 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
 def _join_cells(members: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFrame:
     """(a, b): links that connect what all links between sets of one cell connect."""
     reach = (100 - settings.percent) / 100 + 1e-9
-    members = store_once(_open_cells(members), "cells")
+    members = store_once(_open_cells(members, all_home=True), "cells")
     leaf, large = (members.where(F.col("size") <= settings.leaf_shingles), members.where(F.col("size") > settings.leaf_shingles))
     leaves, links = [leaf], []
     for done in range(settings.rounds + 1):

@@ -84,6 +84,45 @@ def test_jaccard_join(spark, settings):
     assert sorted((tuple(r) for r in found), key=str) == joined_by_hand(rows)
 
 
+def linked_by_hand(sets):
+    return {(i, j) for j in sets for i in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+
+
+def connected_by_hand(nodes, links):
+    label = {x: x for x in nodes}
+    for a, b in links:
+        label = {x: label[a] if y == label[b] else y for x, y in label.items()} if label[a] != label[b] else label
+    groups = collections.defaultdict(set)
+    for x, y in label.items():
+        groups[y].add(x)
+    return sorted(map(sorted, groups.values()))
+
+
+def shared_passages(spark, many):
+    """Sets of 8 of 20 passages, of each one also with a passage changed; and all of them as one cell."""
+    rng, sets = np.random.default_rng(5), {}
+    for _ in range(many):
+        chosen = rng.permutation(20)
+        for extra in (chosen[7], chosen[8]):
+            sets[len(sets)] = {int(10 * p + k) for p in [*chosen[:7], extra] for k in range(10)}
+    members = spark.createDataFrame([(1, i, len(x), i, True) for i, x in sets.items()],
+                                    "cell long, set_id long, n_shingles long, label long, home boolean")
+    blobs = spark.createDataFrame([(i, bytearray(np.array(sorted(x), dtype=np.uint64).tobytes())) for i, x in sets.items()],
+                                  "set_id long, shingles binary")
+    return sets, members, blobs
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_join_of_shared_passages(spark, rounds):
+    """Sibling cells with the same members are each the home of other ones."""
+    sets, members, blobs = shared_passages(spark, 80)
+    settings = jaccard_join.JoinSettings(leaf_shingles=400, rounds=rounds)
+    found = {(r["a"], r["b"]) for r in jaccard_join._join_cells(members, blobs, settings).collect()}
+    links = linked_by_hand(sets)
+    assert {(min(x), max(x)) for x in found} <= links and len(links) >= 80
+    assert connected_by_hand(sets, found) == connected_by_hand(sets, links)
+
+
 def test_jaccard_join_of_nothing(none):
     assert jaccard_join.shingle_join(none).collect() == []
 
