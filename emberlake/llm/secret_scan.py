@@ -82,24 +82,27 @@ def find_parts(docs: DataFrame) -> DataFrame:
 def link_parts(found: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
     """(doc_id, text_key, linked): the weak spans of each text whose complementary parts stand within the scope.
 
-    ``found`` has doc_id, text_key, base and weak. The interval join is on text and bin; a bin holds a bounded number of
-    parts because each has several characters. Spans that a base span covers are not reported again.
+    ``found`` has doc_id, text_key, base and weak. The interval join is on text and bin: a weak part is in all bins that
+    its scope touches, from before its start to behind its end, any other part in the bins it covers itself. A bin holds a
+    bounded number of parts because each has several characters. Spans that a base span covers are not reported again.
     """
     row = ["doc_id", "text_key"]
     width = settings.scope
     every = found.where(F.size("weak") > 0).select(*row, F.explode(F.concat("base", "weak")).alias("s")).select(*row, "s.*").distinct()
     role = F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair])
     parts = every.withColumn("role", F.element_at(role, F.col("kind")))
+    bins = lambda first, last: F.explode(F.expr(f"sequence(CAST(greatest({first}, 0) div {width} AS int), CAST(({last}) div {width} AS int))"))
     near = parts.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("role").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"),
-                        F.explode(F.expr(f"sequence(CAST(start div {width} AS int) - 1, CAST((end - 1) div {width} AS int) + 1)")).alias("b"))
+                        bins("start", "end").alias("b"))
     linked = None
     for kind, needs in NEEDS.items():
-        weak = parts.where(F.col("kind") == kind).withColumn("bin", F.expr(f"CAST(start div {width} AS int)"))
+        weak = parts.where(F.col("kind") == kind)
         for need in needs:
             other = near.where(F.col("r") == need)
-            weak = weak.join(other, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("bin") == F.col("b"))
-                             & (F.col("s") - F.col("end") <= width) & (F.col("start") - F.col("e") <= width), "left_semi")
-        linked = weak.drop("bin") if linked is None else linked.unionByName(weak.drop("bin"))
+            weak = weak.withColumn("bin", bins(f"start - {width}", f"end + {width}")).join(
+                other, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("bin") == F.col("b"))
+                & (F.col("s") - F.col("end") <= width) & (F.col("start") - F.col("e") <= width), "left_semi").drop("bin").distinct()
+        linked = weak if linked is None else linked.unionByName(weak)
     covered = parts.where(F.col("kind").isin(BASE)).select(
         F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("start").alias("s"), F.col("end").alias("e"))
     bare = linked.join(covered, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("s") <= F.col("start")) & (F.col("end") <= F.col("e")), "left_anti")

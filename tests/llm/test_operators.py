@@ -312,6 +312,27 @@ def test_secret_scan(spark, docs, odd, none):
     assert secret_scan.scan(none).collect() == []
 
 
+def linked_spans_by_hand(text, scope):
+    """Spans of identifiers and blobs, each with one of the other kind near enough."""
+    spans = {kind: [m.span() for m in re.finditer(pattern, text)] for kind, pattern in (("ident", "user=[a-z]+"), ("blob", "(?:aB3)+"))}
+    near = lambda x, y: x[0] - y[1] <= scope and y[0] - x[1] <= scope
+    return {(kind, *x) for kind, other in (("ident", "blob"), ("blob", "ident")) for x in spans[kind] if any(near(x, y) for y in spans[other])}
+
+
+def test_secret_scan_links_all_within_scope(spark):
+    """Both orders of two weak parts at many offsets, gaps and lengths."""
+    texts = []
+    for before in (0, 1, 3, 57, 158, 160, 199, 200, 201, 343, 399, 400):
+        for gap in (1, 2, 99, 150, 198, 199, 200, 201, 202, 260):
+            for length in (36, 99, 201, 300, 402, 900):
+                for parts in (("user=admin", "aB3" * (length // 3)), ("aB3" * (length // 3), "user=admin")):
+                    texts.append("." * before + parts[0] + " " * gap + parts[1] + " end")
+    rows = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in rows}
+    missed = [i for i, text in enumerate(texts) if sorted(found[i]) != sorted(linked_spans_by_hand(text, 200))]
+    assert len(rows) == len(texts) and not missed, len(missed)
+
+
 def test_mixing(docs, labels, odd, none):
     settings = mixing.MixSettings(upsample=True)
     rows = mixing.mixture(docs, labels, settings).toPandas()
