@@ -7,6 +7,7 @@ such a sketch only if they share these k-mers *and* have them in the same order,
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -71,27 +72,45 @@ def number_occurrences(hashes: np.ndarray) -> np.ndarray:
     return numbered
 
 
+#: Elements whose keys are worked out at once.
+_CHUNK = 4096
+
+
+@functools.cache
+def _order_terms(sketches: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per order an odd factor and a shift, so that no element comes first in several orders for its trailing zeros."""
+    terms = (mix(np.arange(1, 2 * sketches + 1, dtype=np.uint64)) >> _U(32)).astype(np.uint32)
+    return terms[:sketches] | np.uint32(1), terms[sketches:]
+
+
 def fingerprint(elements: np.ndarray, how: Sketching) -> np.ndarray:
-    """``sketches`` 16-bit hashes. Every order ranks elements by 16 bits of a product, and ties by its other bits."""
-    factors = (mix(np.arange(1, how.sketches // 2 + 1, dtype=np.uint64)) >> _U(32)).astype(np.uint32) | np.uint32(1)
+    """``sketches`` 16-bit hashes. Every order ranks elements by a product of its own, high bits first, as the low bits of a
+    product depend on the low bits of the element only; and ties by the whole element."""
     n, result = len(elements), np.zeros(how.sketches, dtype=np.uint64)
     if n == 0:
         return result.astype(np.uint16)
+    factors, shifts = _order_terms(how.sketches)
     picks, orders = min(how.picks, n), np.arange(how.sketches)
-    keys = ((elements >> _U(32)).astype(np.uint32)[:, None] * factors[None, :]).view(np.uint16)
+    high = (elements >> _U(32)).astype(np.uint32)
     bound = min(65536, 1 + 65536 * (12 + 2 * picks) // n)
-    small = (keys < bound) if bound < 65536 else np.ones(keys.shape, dtype=bool)
-    eights = np.flatnonzero(small.reshape(-1).view(np.uint64))
-    cells = (eights[:, None] * 8 + np.arange(8)[None, :]).reshape(-1)
-    flat = cells[small.reshape(-1)[cells]]
-    position, order = np.divmod(flat, how.sketches)
+    found = []
+    for start in range(0, n, _CHUNK):
+        keys = factors[:, None] * high[None, start:start + _CHUNK]
+        keys += shifts[:, None]
+        small = (keys < np.uint32(bound << 16)) if bound < 65536 else np.ones(keys.shape, dtype=bool)
+        eights = np.flatnonzero(small.reshape(-1).view(np.uint64))
+        cells = (eights[:, None] * 8 + np.arange(8)[None, :]).reshape(-1)
+        order, position = np.divmod(cells[small.reshape(-1)[cells]], keys.shape[1])
+        found.append((order, position + start))
+    order, position = (np.concatenate(x) for x in zip(*found))
     short = np.flatnonzero(np.bincount(order, minlength=how.sketches) < picks)
     if len(short):  # an order with too few small keys takes part with all
         keep = ~np.isin(order, short)
         position = np.append(position[keep], np.tile(np.arange(n), len(short)))
         order = np.append(order[keep], np.repeat(short, n))
-    key = keys[position, order].astype(np.uint64) << _U(48) | mix(elements[position] + order.astype(np.uint64)) >> _U(16)
-    ranked = np.lexsort((position, key, order))
+    key = order.astype(np.uint64) << _U(48) | (high[position] * factors[order] + shifts[order]).astype(np.uint64) << _U(16)
+    key |= mix(elements[position] + order.astype(np.uint64)) >> _U(48)
+    ranked = np.argsort(key, kind="stable")  # positions ascend within an order
     order, position = order[ranked], position[ranked]
     chosen = (np.searchsorted(order, orders)[:, None] + np.arange(picks)[None, :])
     tuples = elements[np.sort(position[chosen], axis=1)]

@@ -189,6 +189,30 @@ def test_order_minhash_sees_order_and_edits(none):
     assert order_minhash.edit_sensitivity(none, how).collect() == []
 
 
+@pytest.mark.parametrize("size", [10, 10_000, 200_000])
+def test_hash_orders_pick_for_themselves(size):
+    """Orders with the same picks have the same hash."""
+    how = order_minhash.Sketching()
+    text = "".join(map(chr, np.random.default_rng(2).integers(97, 123, size)))
+    distinct = len(set(order_minhash._sketch(text, how)[1].tolist()))
+    assert distinct >= (2 if size == 10 else how.sketches - 4)
+
+
+def test_fingerprint_by_brute_force():
+    """Also where chunks of elements end."""
+    how, rng = order_minhash.Sketching(), np.random.default_rng(4)
+    factors, shifts = order_minhash._order_terms(how.sketches)
+    for size in (1, 2, 3, 50, 4095, 4096, 4097, 9000):
+        elements = rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        found = order_minhash.fingerprint(elements, how)
+        for i in (0, 1, 31, 63):
+            keys = [((int(e) >> 32) * int(factors[i]) + int(shifts[i])) % (1 << 32) for e in elements]
+            value = np.zeros(1, dtype=np.uint64)
+            for at in sorted(sorted(range(size), key=keys.__getitem__)[:how.picks]):
+                value = order_minhash.mix(value * np.uint64(order_minhash._GOLDEN) + elements[at] + np.uint64(1))
+            assert found[i] == value[0] >> np.uint64(48)
+
+
 def test_fingerprint_column(odd):
     rows = order_minhash.fingerprints(odd).select("text", "fingerprint").collect()
     by_text = collections.defaultdict(set)
