@@ -40,7 +40,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay or go as the target weights ask for; none is repeated, as its copies have gone before."""
-    return mixing.resample(docs, table(spark, sf_dir, "labels"), mixing.MixSettings(most_rate=1.0))
+    return mixing.resample(docs, table(spark, sf_dir, "labels"), mixing.MixSettings(upsample=False, most_rate=1.0))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ class MixSettings:
     features: int = 32
     significance: float = 10.8
     smoothing: float = 0.5
-    upsample: bool = False
+    upsample: bool = True
     most_rate: float | None = None
     levels: int = 200
     steps: int = 80

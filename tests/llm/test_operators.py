@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from emberlake.llm import (
@@ -372,6 +373,17 @@ def test_mixing(docs, labels, odd, none):
     assert mixing.mixture(none, labels).collect() == []
 
 
+def test_mixing_meets_short_targets(spark):
+    """With the settings of the registered query, where low and toxic tokens are a small part of their targets."""
+    settings = mixing.MixSettings()
+    rows = [(100, [1.0, 0.0, 0.0])] * 970 + [(100, [0.1, 0.9, 0.0])] * 10 + [(100, [0.0, 0.1, 0.9])] * 5
+    members = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    rated = mixing.with_rates(members, mixing.fit_rates(members, settings), F.lit(1), settings.most_rate).toPandas()
+    totals = [(rated.n_tokens * rated.p.str[d] * rated.rate).sum() for d in range(3)]
+    whole = (rated.n_tokens * rated.p.str[0]).sum() / settings.weights["clean"]
+    assert all(abs(total - whole * w) < 0.001 * whole for total, w in zip(totals, settings.weights.values())), [t / whole for t in totals]
+
+
 def test_domains_of_unseen_documents(spark, sf_dir):
     """Learned from one half of the labels, judged by the other."""
     larger = sf_dir.replace("sf0.001", "sf0.1")
