@@ -130,10 +130,10 @@ def score_risk(df: DataFrame, trained: Trained, model: str = RISK_BOOSTED) -> Da
     return name_level(scored, trained.levels).select(*RISK_COLUMNS)
 
 
-def score_fire_size(df: DataFrame, trained: Trained, model: str = SIZE_BOOSTED) -> DataFrame:
-    """Feature rows to predicted intensity, in serving-table shape."""
+def score_fire_size(df: DataFrame, trained: Trained, model: str = SIZE_BOOSTED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Feature rows to predicted intensity, in serving-table shape; ``keep``: further columns behind it."""
     scored = trained.models[model].transform(trained.features.transform(df))
-    return scored.select("event_timestamp", "latitude", "longitude", F.col("prediction").alias("predicted_frp"))
+    return scored.select("event_timestamp", "latitude", "longitude", F.col("prediction").alias("predicted_frp"), *keep)
 
 
 def best_classifier(test_metrics: dict[str, dict]) -> str:

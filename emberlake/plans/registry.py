@@ -476,20 +476,28 @@ def select_best(spark, sf_dir):
 
 @query
 def score_risk(spark, sf_dir):
+    """Checked are the stored predictions: without storing, Spark knows that there is one and leaves the model out."""
     split = stored_split(spark, sf_dir)
     trained, _ = training.train_risk(spark, split, models=(learning.RISK_BOOSTED,))
-    predicted = learning.score_risk(cleaning.fill_for_learning(split["test"]), trained)
-    return predicted.select("event_timestamp", "latitude", "longitude", "frp", F.col("prediction").isNotNull().alias("predicted"),
+    predicted = store_once(learning.score_risk(cleaning.fill_for_learning(split["test"]), trained), "scored-risk")
+    is_level = F.col("prediction").isin([float(i) for i in range(len(trained.levels))])
+    return predicted.select("event_timestamp", "latitude", "longitude", "frp", F.coalesce(is_level, F.lit(False)).alias("predicted"),
                             F.col("risk_level").isin(trained.levels).alias("known_level"))
 
 
 @query
 def score_fire_size(spark, sf_dir):
+    """Served rows, from stored predictions: whether each is a number, and all have the error reported for the model."""
     split = stored_split(spark, sf_dir)
-    trained, _ = training.train_size(spark, split, models=(learning.SIZE_BOOSTED,))
-    predicted = learning.score_fire_size(cleaning.fill_for_learning(split["test"]), trained)
+    trained, judged = training.train_size(spark, split, models=(learning.SIZE_BOOSTED,))
+    test = cleaning.fill_for_learning(split["test"])
+    predicted = store_once(learning.score_fire_size(test, trained, keep=(learning.TARGET,)), "scored-size")
+    miss = F.col("predicted_frp") - F.col(learning.TARGET)
+    error = labels.with_target(predicted).agg(F.sqrt(F.avg(miss * miss))).first()[0]
+    agrees = error is None or abs(error - judged[learning.SIZE_BOOSTED]["test"]["rmse"]) < 1e-3
     served = serving.conforming_rows(predicted, "fire_size_predictions")
-    return served.select("event_timestamp", "latitude", "longitude", "model_version", F.col("predicted_frp").isNotNull().alias("predicted"))
+    is_number = F.col("predicted_frp").isNotNull() & ~F.isnan("predicted_frp") & (F.abs("predicted_frp") < float("inf"))
+    return served.select("event_timestamp", "latitude", "longitude", "model_version", (is_number & F.lit(agrees)).alias("predicted"))
 
 
 # Alerts -------------------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from emberlake.functions.quantiles import approximate_quantiles, exact_quantiles
 from emberlake.operators import labels, learning, metrics
-from emberlake.plans import training
+from emberlake.plans import registry, training
 from emberlake.plans.registry import FIXTURE_TEST, FIXTURE_TRAIN, FIXTURE_VALIDATION, feature_rows
 from emberlake.sources.files import read_inferred_csv
 
@@ -155,3 +155,15 @@ def test_in_memory_rows_to_one_csv(spark, tmp_path):
     assert len(list(path.glob("*.csv"))) == 1
     assert {tuple(r) for r in read_inferred_csv(spark, str(path)).collect()} == {
         ("north", 4), ("south", 17), ("east", 23)}
+
+
+@pytest.mark.parametrize("wrong", [None, "CAST('NaN' AS DOUBLE)", "predicted_frp + 1"])
+def test_scoring_query_tells_wrong_predictions(spark, sf_dir, monkeypatch, wrong):
+    train, score = training.train_size, learning.score_fire_size
+    small = learning.TreeSettings(boost_rounds=2)
+    monkeypatch.setattr(training, "train_size", lambda s, split, models: train(s, split, small, models))
+    if wrong:
+        monkeypatch.setattr(learning, "score_fire_size", lambda *a, **b: score(*a, **b).selectExpr(
+            "* EXCEPT (predicted_frp)", f"{wrong} AS predicted_frp"))
+    found = registry.score_fire_size(spark, sf_dir)
+    assert found.count() > 0 and found.where("predicted").isEmpty() == bool(wrong)
