@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlake.llm import (
-    chat_format, jaccard_join, language_id, mixing, order_minhash, quality_rules, secret_scan, token_files, trie_bpe,
-    url_filters)
+    chat_format, jaccard_join, language_id, minhash_dedup, mixing, order_minhash, quality_rules, ranked_search, secret_scan,
+    spelling_groups, token_files, trie_bpe, url_filters)
 from emberlake.llm.common import table
 
 #: End-of-document identifier: the first one that the byte vocabulary leaves free.
@@ -59,9 +59,22 @@ def op10_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_url_filters, op2_order_minhash, op3_token_counts, op4_ngram_jaccard_join, op5_chat_formatting, op6_language_id,
-    op7_quality_rules, op8_mixing, op9_secret_scan, op10_trie_bpe)}
+    op7_quality_rules, op8_mixing, op9_secret_scan, op10_trie_bpe, op11_ranked_search, op12_spelling_groups,
+    op13_minhash_dedup)}
 
 _DRAW = "CAST(concat('0x', substr(md5(concat('{salt}', {key})), 1, 7)) AS BIGINT)"
 _HOST = r"nullif(rtrim(trim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '')"
@@ -76,6 +89,24 @@ def _listed(name: str, source: str, key: str, salt: str, verdict: str, keep: str
             f"1672531200 + {_draw(salt, key)} % (731 * 86400) AS listed_at FROM {source} WHERE {keep}")
 
 
+def _components(words: int, percent: int, kept: str = "") -> str:
+    """Links of shingle sets by counting shared shingles, equal texts once; then everything reachable."""
+    return rf"""
+WITH RECURSIVE texts AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+worded AS (SELECT text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM texts),
+grams AS (SELECT DISTINCT text, CASE WHEN len(w) < {words} THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + {words - 1}], ' ') END AS gram
+  FROM (SELECT text, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT text, count(*) AS n, row_number() OVER (ORDER BY text) AS id FROM grams GROUP BY text),
+posted AS (SELECT s.id, s.n, g.gram FROM grams g JOIN sizes s USING (text)),
+links AS (SELECT a.id AS a, b.id AS b FROM posted a JOIN posted b ON a.gram = b.gram AND a.id <> b.id AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+reach AS (SELECT id AS a, id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_id AS (SELECT s.id, min(d.doc_id) AS doc_id FROM documents d JOIN sizes s USING (text) GROUP BY s.id),
+component AS (SELECT r.a AS id, min(l.doc_id) AS component_id FROM reach r JOIN least_id l ON l.id = r.b GROUP BY r.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, CASE WHEN s.id IS NULL THEN d.doc_id ELSE c.component_id END AS component_id{kept}
+FROM documents d LEFT JOIN sizes s ON s.text = d.text LEFT JOIN component c ON c.id = s.id"""
+
+
 _BLOCKED = f"{_draw('host:', 'host')} % 3 = 0"
 _ESCAPED = "replace({x}, chr(92), chr(92) || chr(92))"
 for _control in chat_format.CONTROL_STRINGS:
@@ -123,4 +154,20 @@ SELECT conv_id, count(*) AS n_turns,
   count(*) FILTER (role = 'assistant') AS n_examples,
   CAST(coalesce(sum(before + length(opening)) FILTER (role = 'assistant'), 0) AS BIGINT) AS context_chars
 FROM placed GROUP BY conv_id""",
+    "op4_ngram_jaccard_join": _components(5, 75),
+    "op11_ranked_search": r"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+held AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus),
+scores AS (SELECT a.item_id, h.doc_id, CAST(sum(w.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (10 + (90 * s.n * c.docs) // c.words)))) AS BIGINT) AS score
+  FROM asked a JOIN held h USING (term) JOIN weights w USING (term) JOIN sizes s USING (doc_id), corpus c GROUP BY a.item_id, h.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10""",
+    "op13_minhash_dedup": _components(4, 80, ", d.doc_id = CASE WHEN s.id IS NULL THEN d.doc_id ELSE c.component_id END AS kept"),
 }

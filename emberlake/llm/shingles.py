@@ -20,8 +20,9 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,11 +71,12 @@ def text_slices(column: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tu
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a slice, and where each text's words begin among them."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a slice, and where each text's words begin among them. ``breaks`` marks the bytes that
+    belong to no word."""
     if not len(data):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
-    blank = _SPACE[data]
+    blank = breaks[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = edge[:-1].copy()
@@ -90,20 +92,21 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, np.searchsorted(starts, offsets)
 
 
-def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
-    """Each text's distinct shingle hashes in ascending order; no words, no shingles."""
+def shingle_sets(column: pa.Array, width: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """Each text's distinct hashes of ``width`` (at most five) words in ascending order; fewer words make one shingle,
+    no words none."""
     for _, data, offsets in text_slices(column):
         words, bounds = word_hashes(data, offsets)
         grams = np.zeros(0, dtype=np.uint64)
-        if len(words) >= SHINGLE_WORDS:
-            count = len(words) - SHINGLE_WORDS + 1
+        if len(words) >= width:
+            count = len(words) - width + 1
             grams = words[:count] * _STEP[0]
-            for k in range(1, SHINGLE_WORDS):
+            for k in range(1, width):
                 grams += words[k:k + count] * _STEP[k]
             grams = mix(grams)
         for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if end - start >= SHINGLE_WORDS:
-                yield np.unique(grams[start:end - SHINGLE_WORDS + 1])
+            if end - start >= width:
+                yield np.unique(grams[start:end - width + 1])
             elif end > start:
                 short = (words[start:end] * _STEP[:end - start]).sum(dtype=np.uint64) + _U(end - start)
                 yield mix(np.array([short], dtype=np.uint64) ^ _U(_BASE))
