@@ -1,8 +1,10 @@
 """Spelling variants by reduced alphabets: near words have near reductions, so candidates meet on reduced words.
 
 Letters are hashed to a few symbols. Two words that differ by one inserted, deleted or replaced letter reduce to words
-that are equal or differ by one such step, so each reduced word's full neighbourhood of one edit (and itself) is joined
-with the reduced vocabulary, and every pair of words behind it is verified letter by letter. A reduced word is named by a
+that are equal or differ by one such step, so the neighbourhoods of one edit of all reduced words (and they themselves) are
+joined with the reduced vocabulary, and every pair of words behind a match is verified letter by letter. As two near
+words lie in each other's neighbourhood, each edge of it is generated from one of its ends: the longer word deletes what
+the shorter would insert, and the lower symbol is replaced by the higher. A reduced word is named by a
 polynomial hash, from which the names of all its neighbours follow by arithmetic, so a word of any length costs its
 length times the number of symbols, and equal names only ever add candidates.
 
@@ -39,7 +41,7 @@ class SpellingSettings:
     distinct words that a task counts before it hands them on."""
 
     ratio: int = 5
-    spare: float = 64.0
+    spare: float = 32.0
     held_words: int = 200_000
 
 
@@ -110,17 +112,17 @@ class Reducer:
         return mix(sums + _U(length)).view(np.int64)
 
     def neighbours(self, words: list[str]) -> list[np.ndarray]:
-        """For each word the distinct names of its reduction, and of all that one edit makes of that."""
+        """For each word the distinct names of its reduction, and of all that one edit makes of that and that don't make
+        it themselves: those with a symbol less, or with one replaced by a higher one."""
         length, v = len(words[0]), self.values
         symbol, power, sums = self._parts(words)
         whole = sums[:, -1:]
         deleted = sums[:, :-1] + (whole - sums[:, 1:]) * _INVERSE
         replaced = whole[:, :, None] + (v[None, None, :] - v[symbol][:, :, None]) * power[None, :length, None]
-        inserted = sums[:, :, None] + v[None, None, :] * power[None, :, None] + ((whole - sums) * _U(_BASE))[:, :, None]
-        every = np.concatenate([
-            self._named(deleted, length - 1), self._named(replaced.reshape(len(words), -1), length),
-            self._named(inserted.reshape(len(words), -1), length + 1)], axis=1)
-        return [np.unique(row) for row in every]
+        higher = (np.arange(self.symbols)[None, None, :] > symbol[:, :, None]).reshape(len(words), -1)
+        replaced = self._named(replaced.reshape(len(words), -1), length)
+        itself, deleted = self._named(whole, length), self._named(deleted, length - 1)
+        return [np.unique(np.concatenate([i, d, r[h]])) for i, d, r, h in zip(itself, deleted, replaced, higher)]
 
 
 def _by_length(words: list[str], symbols: int) -> Iterator[list[int]]:
@@ -164,12 +166,16 @@ def near_words(words: DataFrame, symbols: int) -> DataFrame:
     vocabulary = reduced.groupBy("reduced").agg(F.min("word").alias("word"))
     around = vocabulary.mapInArrow(_spread(symbols), "reduced long, near long")
     met = around.join(vocabulary.select(F.col("reduced").alias("near")), "near")
-    left = reduced.select("reduced", "word", F.length("word").alias("letters"))
+    left = reduced.select("reduced", "word", "n", F.length("word").alias("letters"))
     right = reduced.select(F.col("reduced").alias("near"), F.col("word").alias("near_word"), F.col("n").alias("near_n"),
                            F.length("word").alias("near_letters"))
     candidates = (met.join(left, "reduced").join(right, "near")
-                  .where((F.abs(F.col("letters") - F.col("near_letters")) <= 1) & (F.col("word") != F.col("near_word"))))
-    return candidates.where(F.levenshtein("word", "near_word", 1) == 1).select("word", F.col("near_word").alias("near"), "near_n")
+                  .where((F.abs(F.col("letters") - F.col("near_letters")) <= 1) & (F.col("word") != F.col("near_word")))
+                  .where((F.col("reduced") != F.col("near")) | (F.col("word") < F.col("near_word"))))
+    pairs = candidates.where(F.levenshtein("word", "near_word", 1) == 1)
+    both = F.array(F.struct("word", F.col("near_word").alias("near"), "near_n"), F.struct(F.col("near_word").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n")))
+    # hashed names could name both ends of an edge alike, so a pair may come twice
+    return pairs.select(F.inline(both)).distinct()
 
 
 def follow_forms(forms: DataFrame) -> DataFrame:
