@@ -9,9 +9,11 @@ union of the sets, and those in both sketches are a sample of what the sets shar
 * *the union's sketch* estimates the likeness, and pairs below the bound that gives the chance above go;
 * *exact counting* on the whole sets decides what remains.
 
-No list emits all its pairs: in each round a list's *leaders*, the first members of a few of the components it still
-joins, meet its other members and then leave the list. What is already connected needs no comparison, so a list of many
-near copies ends after a round; a list whose members stay apart meets more leaders with each round, until all have met.
+No list emits its pairs. Each list has a leader, the member whose values others hold most: the original of many near
+copies shares all of its own, a copy lacks what was edited. Leaders meet the members of their lists first, which connects
+most of what there is to connect. The lists of one leader then make a cell; cells that still hold several components are
+cut into blocks, and each two blocks of a cell meet in one task, which counts overlaps by the inverted lists of its own
+members, estimates, verifies, and compares nothing that is already connected.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from emberlake.llm.shingles import mix, set_digest, shingle_sets
 class SketchSettings:
     """``percent``: least Jaccard likeness of a link. ``words``: words in a shingle. ``k``: values in a sketch.
     ``deviations``: how far below its mean an estimate may fall before its pair goes. ``common_share``: share of all
-    texts that makes a value hot. ``bucket_values``: values counted in one task. ``leaders``: components of a list that
-    meet the rest in the second round (one in the first), ``more`` times as many in each further one."""
+    texts that makes a value hot. ``bucket_values``: values counted in one task. ``block_sets`` and ``block_shingles``:
+    about the most that a block of a cell holds; a task has two."""
 
     percent: int = 80
     words: int = 4
@@ -44,8 +45,8 @@ class SketchSettings:
     deviations: float = 6.0
     common_share: float = 0.001
     bucket_values: int = 1_500_000
-    leaders: int = 4
-    more: int = 4
+    block_sets: int = 1_000
+    block_shingles: int = 100_000
 
     @property
     def least_shared(self) -> int:
@@ -98,7 +99,7 @@ def _survey(settings: SketchSettings) -> Callable:
     return run
 
 
-_DEALT = "bucket long, set_ids binary, lengths binary, vals binary, set_id long, need long, hot array<long>"
+_DEALT = "bucket long, set_ids binary, lengths binary, vals binary, set_id long, size long, n_hot long, need long, hot array<long>"
 
 
 def _deal(hot: np.ndarray, buckets: int, settings: SketchSettings) -> Callable:
@@ -120,8 +121,8 @@ def _deal(hot: np.ndarray, buckets: int, settings: SketchSettings) -> Callable:
             for i in np.flatnonzero(need > cool):
                 taken[i] = values[(owner == i) & common][:need[i] - cool[i]].view(np.int64).tolist()
             nothing = [pa.nulls(len(ids), pa.binary())] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids % buckets), *nothing, pa.array(ids), pa.array(need - cool),
-                                              pa.array(taken, pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - ids % buckets), *nothing, pa.array(ids), pa.array(lengths), pa.array(lengths - cool),
+                                              pa.array(need - cool), pa.array(taken, pa.list_(pa.int64()))], names)
             values, owner = values[~common], owner[~common]
             bucket = (values % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -136,11 +137,11 @@ def _deal(hot: np.ndarray, buckets: int, settings: SketchSettings) -> Callable:
                 columns = list(zip(*dealt))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(columns[0], pa.int64()), *[pa.array(x, pa.binary()) for x in columns[1:]],
-                    pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int64()))], names)
+                    *[pa.nulls(k, pa.int64())] * 4, pa.nulls(k, pa.list_(pa.int64()))], names)
     return run
 
 
-_LISTED = "set_id long, need long, hot array<long>, value long, holders long"
+_LISTED = "set_id long, size long, n_hot long, need long, hot array<long>, value long, holders long"
 
 
 def _list(bucket: pa.Table) -> pa.Table:
@@ -148,7 +149,7 @@ def _list(bucket: pa.Table) -> pa.Table:
     names = [x.split()[0] for x in _LISTED.split(", ")]
     n = bucket.num_rows
     if bucket.column("bucket")[0].as_py() < 0:
-        return pa.table([bucket.column("set_id"), bucket.column("need"), bucket.column("hot"), *[pa.nulls(n, pa.int64())] * 2], names)
+        return pa.table([*[bucket.column(x) for x in names[:5]], *[pa.nulls(n, pa.int64())] * 2], names)
     joined = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind) for x in bucket.column(name)])
     values, owner = joined("vals", np.uint64), np.repeat(joined("set_ids", np.int64), joined("lengths", np.int32))
     order = np.lexsort((owner, values))
@@ -160,22 +161,25 @@ def _list(bucket: pa.Table) -> pa.Table:
     holders = np.repeat(holders, holders)
     kept = holders > 1
     m = int(kept.sum())
-    return pa.table([pa.array(owner[kept]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())),
+    return pa.table([pa.array(owner[kept]), *[pa.nulls(m, pa.int64())] * 3, pa.nulls(m, pa.list_(pa.int64())),
                      pa.array(values[kept].view(np.int64)), pa.array(holders[kept], pa.int64())], names)
 
 
 def inverted_lists(sketches: DataFrame, hot: np.ndarray, buckets: int, settings: SketchSettings) -> DataFrame:
-    """(value, set_id): of each set the rarest values that a linked set must share, where others hold them too."""
+    """(value, set_id, standing): of each set the rarest values that a linked set must share, where others hold them too.
+    ``standing`` is the share of a set's sketch that others hold."""
     found = store_once(sketches.mapInArrow(_deal(hot, buckets, settings), _DEALT).groupBy("bucket").applyInArrow(_list, _LISTED), "lists")
     listed = found.where("value IS NOT NULL").select("set_id", "value", "holders")
-    own = found.where("need IS NOT NULL").groupBy("set_id").agg(F.first("need").alias("need"), F.first("hot").alias("hot"))
+    own = found.where("need IS NOT NULL").groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("size", "n_hot", "need", "hot")])
     # need counts from the sketch's hot values back; with the values that nobody shares first, so many shared ones are needed
-    shared = listed.groupBy("set_id").agg(F.count("*").alias("n_shared"))
-    wanted = (own.join(shared, "set_id", "left").select("set_id", "hot", (F.col("need") + F.coalesce("n_shared", F.lit(0))).alias("take"))
-              .where("take > 0"))
+    shared = listed.groupBy("set_id").agg(F.count("*").alias("n"))
+    held = F.coalesce("n", F.lit(0))
+    wanted = (own.join(shared, "set_id", "left").select(
+        "set_id", "hot", (F.col("need") + held).alias("take"), ((held + F.col("n_hot")) / F.col("size")).alias("standing")).where("take > 0"))
     rank = F.row_number().over(Window.partitionBy("set_id").orderBy("holders", "value"))
-    rare = (listed.join(wanted.select("set_id", "take"), "set_id").withColumn("rank", rank).where("rank <= take").select("value", "set_id"))
-    return rare.unionByName(wanted.select(F.explode("hot").alias("value"), "set_id"))
+    rare = (listed.join(wanted.select("set_id", "take", "standing"), "set_id").withColumn("rank", rank).where("rank <= take")
+            .select("value", "set_id", "standing"))
+    return rare.unionByName(wanted.select(F.explode("hot").alias("value"), "set_id", "standing"))
 
 
 def _whole(width: int) -> Callable:
@@ -230,41 +234,97 @@ def _both(pairs: DataFrame, of: DataFrame, **columns: str) -> DataFrame:
     return pairs
 
 
-def _open(lists: DataFrame) -> DataFrame:
-    """Members of lists that still join several components."""
-    still = lists.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("value")
-    return lists.join(still, "value")
-
-
-def _once(lists: DataFrame) -> DataFrame:
-    """One of the lists that have the same members."""
-    marks = [F.bit_xor(F.xxhash64("set_id", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
-    facts = lists.groupBy("value").agg(F.count("*").alias("n"), *marks).where("n > 1")
-    return lists.join(facts.groupBy("n", "m1", "m2").agg(F.min("value").alias("value")).select("value"), "value")
+class _Block:
+    """Members of two blocks of a cell (or of one), ready to be compared row by row."""
+
+    def __init__(self, group: pa.Table, settings: SketchSettings):
+        unpacked = lambda name: [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column(name)]
+        self.settings, self.sketches, self.sets = settings, unpacked("sketch"), unpacked("shingles")
+        self.sizes = np.array([len(x) for x in self.sets])
+        lengths = np.array([len(x) for x in self.sketches])
+        owner, rank = np.repeat(np.arange(len(lengths)), lengths), np.concatenate([np.arange(1, n + 1) for n in lengths])
+        values = np.concatenate(self.sketches)
+        order = np.argsort(values, kind="stable")
+        self.owner, self.rank, self.values = owner[order], rank[order], values[order]
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` (a mask) that member i has a link with."""
+        k, percent, sizes = self.settings.k, self.settings.percent, self.sizes
+        mine = self.sketches[i]
+        low, high = np.searchsorted(self.values, mine, "left"), np.searchsorted(self.values, mine, "right")
+        at = np.repeat(low - np.append(0, np.cumsum(high - low)[:-1]), high - low) + np.arange(int((high - low).sum()))
+        member, ranks = self.owner[at], np.repeat(np.arange(1, len(mine) + 1), high - low) + self.rank[at]
+        shared = np.bincount(member, minlength=len(sizes))
+        whole = np.maximum(sizes, sizes[i]) <= k
+        enough = np.where(whole, 100 * shared >= percent * (sizes + sizes[i] - shared), shared >= self.settings.least_shared)
+        others = others & enough & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        # a shared value's rank in the union is the sum of its ranks less the number of shared values up to it
+        mine_too = others[member]
+        member, ranks = member[mine_too], ranks[mine_too]
+        order = np.argsort(member, kind="stable")
+        member, ranks = member[order], ranks[order]
+        first = np.searchsorted(member, member)
+        within = np.bincount(member[ranks - (np.arange(len(member)) - first + 1) <= k], minlength=len(sizes))
+        who = np.flatnonzero(others & (whole | (within >= self.settings.least_shared)))
+        if not len(who):
+            return who
+        starts = np.append(0, np.cumsum(sizes[who])[:-1])
+        values = np.concatenate([self.sets[j] for j in who])
+        at = np.minimum(np.searchsorted(self.sets[i], values), sizes[i] - 1)
+        both = np.add.reduceat((self.sets[i][at] == values).astype(np.int64), starts)
+        return who[100 * both >= percent * (sizes[who] + sizes[i] - both)]
+
+
+def _meet(settings: SketchSettings) -> Callable:
+    """Links that connect, between the two blocks, exactly what all links between them connect."""
+    def run(group: pa.Table) -> pa.Table:
+        block, ids = _Block(group, settings), group.column("set_id").to_numpy()
+        late = group.column("late").to_numpy(zero_copy_only=False)
+        apart = bool(late.any())
+        _, label = np.unique(group.column("label").to_numpy(), return_inverse=True)
+        waiting = np.ones(len(ids), dtype=bool)
+        a, b = [], []
+        while (np.bincount(label[waiting]) > 0).sum() > 1:
+            counts = np.bincount(label[waiting])
+            rarest = np.flatnonzero(counts)[np.argmin(counts[counts > 0])]
+            i = int(np.flatnonzero(waiting & (label == rarest))[0])
+            waiting[i] = False
+            others = waiting & (label != label[i])
+            found = block.linked(i, others & (late != late[i]) if apart else others)
+            a += [ids[i]] * len(found)
+            b += ids[found].tolist()
+            label[np.isin(label, label[found])] = label[i]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
 
 
 def _links(lists: DataFrame, retained: DataFrame, whole: DataFrame, settings: SketchSettings) -> DataFrame:
     """(a, b): links that connect what all links between members of one list connect."""
-    members = store_once(_once(lists).join(retained.select("set_id", F.col("n_shingles").alias("n")), "set_id")
-                         .withColumn("label", F.col("set_id")), "members")
-    links: list[DataFrame] = []
-    leaders = 1
-    while not members.isEmpty():
-        first = members.groupBy("value", "label").agg(F.min(F.struct(F.xxhash64("set_id").alias("h"), "set_id", "n")).alias("f"))
-        place = F.row_number().over(Window.partitionBy("value").orderBy("f"))
-        chosen = store_once(first.withColumn("place", place).where(F.col("place") <= leaders)
-                            .select("value", F.col("label").alias("of"), F.col("f.set_id").alias("leader"), F.col("f.n").alias("m")), "leaders")
-        near_size = 100 * F.least("n", "m") >= settings.percent * F.greatest("n", "m")
-        pairs = (members.join(chosen, "value").where((F.col("label") != F.col("of")) & near_size)
-                 .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b")).distinct())
-        hopeful = store_once(_both(pairs, retained, sketch="sketch", n="n_shingles").mapInArrow(_promising(settings), "a long, b long"), "hopeful")
-        links.append(store_once(_both(hopeful, whole, set="shingles").mapInArrow(_linked(settings.percent), "a long, b long"), "links"))
-        labels = connected_components(reduce(DataFrame.unionByName, links))
-        rest = members.drop("label").join(chosen.select("value", F.col("leader").alias("set_id")), ["value", "set_id"], "left_anti")
-        members = store_once(_open(rest.join(labels, rest["set_id"] == labels["node"], "left")
-                                   .select("value", "set_id", "n", F.coalesce("label", "set_id").alias("label"))), "members")
-        leaders = settings.leaders if leaders == 1 else leaders * settings.more
-    return reduce(DataFrame.unionByName, links) if links else members.selectExpr("set_id AS a", "set_id AS b")
+    leader = lists.groupBy("value").agg(
+        F.min(F.struct((-F.col("standing")).alias("s"), F.xxhash64("set_id").alias("h"), F.col("set_id").alias("cell"))).alias("f"),
+        F.count("*").alias("n")).where("n > 1").select("value", "f.cell")
+    sizes = retained.select("set_id", F.col("n_shingles").alias("n"))
+    cells = store_once(lists.join(leader, "value").where("set_id <> cell").select("cell", "set_id").distinct().join(sizes, "set_id"), "cells")
+
+    near_size = 100 * F.least("n", "m") >= settings.percent * F.greatest("n", "m")
+    pairs = (cells.join(sizes.select(F.col("set_id").alias("cell"), F.col("n").alias("m")), "cell").where(near_size)
+             .select(F.least("set_id", "cell").alias("a"), F.greatest("set_id", "cell").alias("b")).distinct())
+    hopeful = _both(pairs, retained, sketch="sketch", n="n_shingles").mapInArrow(_promising(settings), "a long, b long")
+    links = store_once(_both(hopeful, whole, set="shingles").mapInArrow(_linked(settings.percent), "a long, b long"), "links")
+
+    labels = connected_components(links)
+    members = (cells.join(labels, cells["set_id"] == labels["node"], "left")
+               .select("cell", "set_id", "n", F.coalesce("label", "set_id").alias("label")))
+    blocks = F.greatest(F.ceil(F.count("*") / settings.block_sets), F.ceil(F.sum("n") / settings.block_shingles))
+    still = members.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"), blocks.alias("blocks")).where("low < high")
+    own = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
+    dealt = (members.join(still.select("cell", "blocks"), "cell").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("cell", "set_id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("late")))
+    # a block meets itself in a group where none is late
+    met = (dealt.join(retained.select("set_id", "sketch"), "set_id").join(whole, "set_id")
+           .groupBy("cell", "i", "j").applyInArrow(_meet(settings), "a long, b long"))
+    return links.unionByName(met)
 
 
 def near_duplicates(docs: DataFrame, settings: SketchSettings = SketchSettings()) -> DataFrame:
