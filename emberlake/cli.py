@@ -47,7 +47,7 @@ def _train_anomaly(spark, args):
 
 def _load(spark, args):
     store = Store(args.url, os.environ["SERVING_USER"], os.environ["SERVING_PASSWORD"], args.schema)
-    load.load_events(spark, args.curated, args.years, store, args.mode)
+    load.load_events(spark, args.curated, args.years, store, args.mode, rejected=args.rejected)
 
 
 #: Topics that scoring and alerts read.
@@ -118,6 +118,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--mode", choices=["append", "overwrite"], default="overwrite")
     sub.add_argument("--url", required=True)
     sub.add_argument("--schema", default="public")
+    sub.add_argument("--rejected", help="folder for rows that the table refuses; only counted, if not given")
 
     sub = job("stream", _stream)
     sub.add_argument("job", choices=["ingest", "anomalies", "risk", "alerts"])

@@ -10,10 +10,12 @@ them, and no step repeats the CSV parse or the dedup.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emberlake.operators import quality
 from emberlake.operators.cleaning import clean, is_near_real_time
@@ -22,7 +24,7 @@ from emberlake.operators.features import batch_features
 from emberlake.operators.validation import is_valid
 from emberlake.schemas import CANONICAL_COLUMNS, NATURAL_KEY
 from emberlake.session import store_once
-from emberlake.sinks.tables import clear_years, write_json, write_raw_sample, write_years, write_years_as_is
+from emberlake.sinks.tables import staging_folder, switch_years, write_json, write_raw_sample, write_years, write_years_as_is
 from emberlake.sources.files import YEAR_FOLDER, file_metadata, read_year, read_years
 
 
@@ -43,11 +45,12 @@ class Layout:
                    f"{base}/raw_sample" if raw_sample else None)
 
 
-def write_checked(raw: DataFrame, path: str, nrt=None) -> None:
-    """Cleaned rows of every year with their validity flag, in the order they were read."""
+def write_checked(raw: DataFrame, path: str, nrt=None) -> StructType:
+    """Cleaned rows of every year with their validity flag, in the order they were read; returns the table's schema."""
     cleaned = clean(raw, is_near_real_time() if nrt is None else nrt, keep=("source_year",))
     flagged = cleaned.withColumn("is_valid", is_valid()).withColumnRenamed("source_year", "year")
     write_years_as_is(flagged, path)
+    return flagged.schema
 
 
 def curate(checked: DataFrame) -> DataFrame:
@@ -112,18 +115,26 @@ def overall_document(documents: DataFrame, sample_limit: int | None) -> DataFram
 
 
 def process(spark: SparkSession, raw: DataFrame, years: list[int], layout: Layout, nrt=None) -> DataFrame:
-    """Raw rows tagged with ``source_year`` to stored tables; returns the per-year figures."""
-    for base in (layout.checked, layout.curated, layout.features):
-        clear_years(spark, base, years)
-    write_checked(raw, layout.checked, nrt)
-    checked = spark.read.parquet(layout.checked).where(F.col("year").isin(years))
+    """Raw rows tagged with ``source_year`` to stored tables; returns the per-year figures.
+
+    All three tables are staged first and their years switched when the last one is written, so a run that fails leaves
+    what an earlier one stored.
+    """
+    stamp = uuid.uuid4().hex
+    bases = (layout.checked, layout.curated, layout.features)
+    staged_checked, staged_curated, staged_features = staged = [staging_folder(base, stamp) for base in bases]
+    schema = write_checked(raw.where(F.col("source_year").isin(years)), staged_checked, nrt)
+    checked = spark.read.schema(schema).parquet(staged_checked)
     cured = curate(checked).select(*CANONICAL_COLUMNS, "year")
-    write_years(cured, layout.curated)
-    curated = spark.read.schema(cured.schema).parquet(layout.curated).where(F.col("year").isin(years))
+    write_years(cured, staged_curated)
+    curated = spark.read.schema(cured.schema).parquet(staged_curated)
     # The folder year stays the partition even where a stray row's own date says otherwise.
     features = batch_features(curated.withColumnRenamed("year", "folder_year"))
-    write_years_as_is(features.withColumn("year", F.col("folder_year")).drop("folder_year"), layout.features)
-    return report(checked, curated)
+    write_years_as_is(features.withColumn("year", F.col("folder_year")).drop("folder_year"), staged_features)
+    for folder, base in zip(staged, bases):
+        switch_years(spark, folder, base, years)
+    stored = [spark.read.schema(df.schema).parquet(base).where(F.col("year").isin(years)) for df, base in ((checked, layout.checked), (cured, layout.curated))]
+    return report(*stored)
 
 
 def run(spark: SparkSession, data_dir: str, years: list[int], layout: Layout,

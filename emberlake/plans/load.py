@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emberlake.operators import serving
 from emberlake.operators.validation import require_rows
+from emberlake.session import store_once
 from emberlake.sinks.jdbc import Store, write_table
 from emberlake.sources.files import missing_years, read_partitioned
 
@@ -27,7 +28,7 @@ def load_events(spark: SparkSession, curated: str, years: list[int], store: Stor
     rows = require_rows(read_partitioned(spark, curated, years), f"{curated} for {years}")
     for year in missing_years(rows, years):
         log.warning("no rows for %s in %s", year, curated)
-    events = serving.event_rows(rows)
+    events = store_once(serving.event_rows(rows), "load-events")  # written, refused and counted from one evaluation
     accepted, refused = serving.store_rows(events, "fire_events"), serving.rejected_rows(events, "fire_events")
     save(accepted, store, "fire_events", mode)
     if rejected:

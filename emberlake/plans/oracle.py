@@ -196,6 +196,15 @@ STAGES: dict[str, tuple[tuple[str, ...], str]] = {
                      min(frp) AS min_frp, max(frp) AS max_frp,
                      round(NULLIF(avg(brightness), 0), 2) AS avg_brightness, round(NULLIF(avg(frp), 0), 2) AS avg_frp
               FROM curated GROUP BY 1) USING (source_year)"""),
+    "linked": ((), """
+        SELECT (l_suppkey*1291 % 1900)/1e1 - 9e1 AS latitude,
+               ((l_suppkey*2741 + l_linenumber*13) % 3690)/1e1 - 1.8e2 AS longitude,
+               CASE WHEN l_partkey % 50 = 1 THEN NULL ELSE l_quantity*l_extendedprice/1e5 END AS frp,
+               TIMESTAMP '2024-01-01' + to_minutes(CAST((l_partkey*7919 + l_orderkey*13) % 43200 AS BIGINT)) AS event_timestamp
+        FROM lineitem"""),
+    "readings": (("env_rows",), """
+        SELECT event_timestamp AS reading_time, latitude AS reading_latitude, longitude AS reading_longitude,
+               temperature, humidity, wind_speed, wind_direction, rainfall, smoke, air_quality_index, source FROM env_rows"""),
     "duplicates": (("fire",), """
         SELECT source_year, CAST(SUM(n) AS BIGINT) AS total_rows, CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
                COUNT(*) AS valid_rows_estimate
@@ -470,6 +479,53 @@ _FINAL: dict[str, tuple[str, str]] = {
         SELECT source_year AS year, TRUE AS has_files, TRUE AS has_duration, input_rows, invalid_rows, duplicate_rows,
                output_rows AS output_curated_rows, min_latitude, max_latitude, min_longitude, max_longitude,
                min_acq_date, max_acq_date, quality_status FROM quality"""),
+    "fire_readings": ("linked readings", """
+        SELECT f.event_timestamp, f.latitude, f.longitude, f.frp, n.reading_time, n.gap_seconds, n.distance_km, n.temperature,
+               n.humidity, n.wind_speed, n.wind_direction, n.rainfall, n.smoke, n.air_quality_index, n.source
+        FROM (SELECT event_timestamp, latitude, longitude, CASE WHEN count(*) > count(frp) THEN NULL ELSE min(frp) END AS frp
+              FROM linked GROUP BY ALL_KEYS) f
+        LEFT JOIN (
+          SELECT * FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY event_timestamp, latitude, longitude ORDER BY gap_seconds, distance_km,
+              reading_time, reading_latitude, reading_longitude, temperature NULLS FIRST, humidity NULLS FIRST,
+              wind_speed NULLS FIRST, wind_direction NULLS FIRST, rainfall NULLS FIRST, smoke NULLS FIRST,
+              air_quality_index NULLS FIRST, source NULLS FIRST) AS r
+            FROM (
+              SELECT f.event_timestamp, f.latitude, f.longitude, r.*,
+                CAST(abs(epoch(f.event_timestamp) - epoch(r.reading_time)) AS BIGINT) AS gap_seconds,
+                round(2 * 6371.0 * asin(sqrt(least(1.0,
+                  sin(radians(r.reading_latitude - f.latitude)/2)*sin(radians(r.reading_latitude - f.latitude)/2)
+                  + cos(radians(f.latitude))*cos(radians(r.reading_latitude))
+                    *sin(radians(r.reading_longitude - f.longitude)/2)*sin(radians(r.reading_longitude - f.longitude)/2)))), 3) AS distance_km
+              FROM (SELECT DISTINCT event_timestamp, latitude, longitude FROM linked) f JOIN readings r
+                ON r.reading_time BETWEEN f.event_timestamp - INTERVAL 6 HOUR AND f.event_timestamp + INTERVAL 6 HOUR
+               AND abs(floor(r.reading_latitude/1.5) - floor(f.latitude/1.5)) <= 1
+               AND CAST(floor(r.reading_longitude/1.5) - floor(f.longitude/1.5) + 480 AS BIGINT) % 240 IN (0, 1, 239)))
+          WHERE r = 1) n USING (event_timestamp, latitude, longitude)""".replace("ALL_KEYS", "event_timestamp, latitude, longitude")),
+    "stream_fire_readings": ("linked readings", """
+        SELECT f.event_timestamp, f.latitude, f.longitude, f.frp, r.reading_time, r.reading_latitude, r.reading_longitude,
+               r.temperature, r.humidity
+        FROM linked f JOIN readings r
+          ON r.reading_time BETWEEN f.event_timestamp - INTERVAL 1 HOUR AND f.event_timestamp + INTERVAL 1 HOUR
+         AND floor(r.reading_latitude/15) = floor(f.latitude/15) AND floor(r.reading_longitude/15) = floor(f.longitude/15)"""),
+    "stream_recurrence": ("ingested events_served", """
+        SELECT i.event_timestamp, i.latitude, i.longitude, i.frp, CAST(COALESCE(n.earlier_fires, 0) AS BIGINT) AS earlier_fires
+        FROM (SELECT *, floor(latitude/0.1) AS y, floor(longitude/0.1) AS x, CAST(event_timestamp AS DATE) AS d FROM ingested) i
+        LEFT JOIN (
+          SELECT a.y, a.x, a.d, COUNT(*) AS earlier_fires
+          FROM (SELECT DISTINCT floor(latitude/0.1) AS y, floor(longitude/0.1) AS x, CAST(event_timestamp AS DATE) AS d FROM ingested) a
+          JOIN (SELECT floor(latitude/0.1) AS y, floor(longitude/0.1) AS x, CAST(event_timestamp AS DATE) AS d FROM events_served) s
+            ON s.y = a.y AND s.x = a.x AND s.d < a.d AND s.d >= a.d - 30
+          GROUP BY 1, 2, 3) n ON n.y = i.y AND n.x = i.x AND n.d = i.d
+        WHERE i.event_timestamp IS NOT NULL"""),
+    "stream_dedup": ("linked", "SELECT DISTINCT event_timestamp, latitude, longitude FROM linked WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"),
+    "stream_fallen_rows": ("cleaned", """
+        SELECT *, input_rows - out_of_bounds_rows - untimed_rows AS kept_rows, input_rows - out_of_bounds_rows - untimed_rows AS stored_rows
+        FROM (SELECT COUNT(*) AS input_rows, COUNT(*) FILTER (WHERE NOT placed) AS out_of_bounds_rows,
+                     COUNT(*) FILTER (WHERE placed AND event_timestamp IS NULL) AS untimed_rows
+              FROM (SELECT *, COALESCE(latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180, FALSE) AS placed FROM cleaned))"""),
+    "stream_table_replay": ("events_served", "SELECT * FROM events_served"),
+    "csv_by_header": ("fire", f"SELECT {EVENT}, source_year FROM fire"),
     "profile_document": ("duplicates", """
         SELECT source_year AS year, TRUE AS has_files, TRUE AS has_duration, total_rows, duplicate_rows, valid_rows_estimate,
                min_latitude, max_latitude, min_longitude, max_longitude, min_acq_date, max_acq_date, negative_frp_count, versions

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -35,3 +35,8 @@ def table_options(store: Store, table: str, mode: str) -> dict[str, str]:
 
 def write_table(df: DataFrame, store: Store, table: str, mode: str = "append") -> None:
     df.write.format("jdbc").options(**table_options(store, table, mode)).mode(mode).save()
+
+
+def read_table(spark: SparkSession, store: Store, table: str) -> DataFrame:
+    """Filters and columns asked of the result are pushed into the database."""
+    return spark.read.format("jdbc").options(**store.options(table)).load()

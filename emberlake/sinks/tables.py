@@ -4,18 +4,39 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW_SAMPLE_ROWS = 1000
 
 
-def clear_years(spark: SparkSession, base: str, years: list[int]) -> None:
-    """Remove the folders of these years, so that a year that comes out empty keeps no rows of an earlier run."""
+def staging_folder(base: str, run: str) -> str:
+    """Beside the years of a table, under a name that readers of the table skip."""
+    return f"{base}/_run-{run}"
+
+
+def switch_years(spark: SparkSession, staged: str, base: str, years: list[int]) -> None:
+    """Puts the staged folders of these years in place of the table's; a year that came out empty goes.
+
+    Renames only: what was there moves aside first and back again if its successor can't be moved, so every year is
+    whole at any time but between two renames. What moved aside is removed at the end, with the staging folder.
+    """
     jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = f"{staged}-replaced"
+    system.mkdirs(path(aside))
     for year in years:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{base}/year={int(year)}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        old, new, kept = (path(f"{folder}/year={int(year)}") for folder in (base, staged, aside))
+        had, has = system.exists(old), system.exists(new)
+        if had and not system.rename(old, kept):
+            raise OSError(f"can't move {old} aside")
+        if has and not system.rename(new, old):
+            if had:
+                system.rename(kept, old)
+            raise OSError(f"can't move {new} to {old}")
+    system.delete(path(aside), True)
+    system.delete(path(staged), True)
 
 
 def write_years(df: DataFrame, base: str) -> None:
@@ -37,6 +58,18 @@ def write_years_as_is(df: DataFrame, base: str) -> None:
        .option("compression", "snappy").partitionBy("year").parquet(base))
 
 
+def month_of(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def write_months(events: DataFrame, base: str) -> None:
+    """Events by month, in time order within a file: a question about days opens its months and skips the rest of their
+    files by time. A folder a day would be thousands of small ones over the years."""
+    dated = events.withColumn("event_month", month_of(F.to_date("event_timestamp")))
+    arranged = dated.hint("rebalance", "event_month").sortWithinPartitions("event_month", "event_timestamp")
+    arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_month").parquet(base)
+
+
 def write_raw_sample(raw: DataFrame, path: str, rows: int = RAW_SAMPLE_ROWS) -> None:
     """A demonstration extract, one headered CSV."""
     raw.limit(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

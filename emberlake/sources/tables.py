@@ -35,6 +35,14 @@ FIRE_COLUMNS = {
     "type": f"CASE WHEN {_NRT} THEN NULL ELSE CAST(l_partkey % 4 AS INT) END",
 }
 
+#: Detections within the month that the telemetry covers, so that the two can meet.
+_LINKED_TIME = "timestampadd(MINUTE, pmod(l_partkey*7919 + l_orderkey*13, 43200), TIMESTAMP '2024-01-01 00:00:00')"
+LINKED_COLUMNS = {
+    **FIRE_COLUMNS,
+    "acq_date": f"date_format({_LINKED_TIME}, 'yyyy-MM-dd')",
+    "acq_time": f"date_format({_LINKED_TIME}, 'HHmm')",
+}
+
 ENVIRONMENT_COLUMNS = {
     "timestamp": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     "latitude": "(user_id*1291 % 1900)/1e1 - 9e1",
@@ -63,6 +71,11 @@ def fire_view(lineitem: DataFrame, with_year: bool = False) -> DataFrame:
     return _view(lineitem, FIRE_COLUMNS, *(["year(l_shipdate) AS source_year"] if with_year else []))
 
 
+def linked_fire_view(lineitem: DataFrame) -> DataFrame:
+    """Like :func:`fire_view`, in the month of the telemetry."""
+    return _view(lineitem, LINKED_COLUMNS)
+
+
 def environment_view(events: DataFrame) -> DataFrame:
     return _view(events, ENVIRONMENT_COLUMNS)
 

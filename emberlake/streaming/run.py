@@ -13,11 +13,12 @@ def start(writer: DataStreamWriter, interval: str = INGEST_TRIGGER) -> Streaming
     return writer.trigger(processingTime=interval).start()
 
 
-def drain(*writers: DataStreamWriter) -> None:
-    """Process what is there now, side by side, and stop."""
+def drain(*writers: DataStreamWriter) -> list[StreamingQuery]:
+    """Process what is there now, side by side, and stop. The ended queries still tell their progress."""
     queries = [w.trigger(availableNow=True).start() for w in writers]
     for query in queries:
         query.awaitTermination()
+    return queries
 
 
 def choose(writers: dict[str, DataStreamWriter], mode: str) -> list[DataStreamWriter]:
