@@ -72,7 +72,8 @@ def expand_examples(conversations: DataFrame) -> DataFrame:
 
 def parse_turns(formatted: Column) -> Column:
     """An array of (role, text), read back from formatted text; the inverse of formatting."""
-    body = r"((?s:[^\\\n]|\\.)*)\n((?s:.*))"
+    # possessive, so that a role of any length takes no stack
+    body = r"((?:[^\\\n]++|\\(?s:.))*+)\n((?s:.*))"
     pieces = F.filter(F.split(formatted, r"\Q" + END + r"\E\n"), lambda p: p.startswith(START))
     return F.transform(pieces, lambda p: F.struct(
         unescape(F.regexp_extract(F.substring(p, len(START) + 1, 2**31 - 1), body, 1)).alias("role"),

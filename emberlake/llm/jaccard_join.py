@@ -56,8 +56,9 @@ def _signed(values: np.ndarray) -> pa.Array:
 _SURVEY = "doc_id long, set_id long, n_shingles long, shingle long, texts long"
 
 
-def _survey(share: float) -> Callable:
-    """Rows for documents (name and size of the set), and rows for shingles that are hot within the batch."""
+def _survey(share: float, at: bool = False) -> Callable:
+    """Rows for documents (name and size of the set, with ``at`` the number of the row), and rows for shingles that are hot
+    within the batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, names, hot = [], [], ([], [])
@@ -75,7 +76,8 @@ def _survey(share: float) -> Callable:
                 pa.array(names + [None] * m, pa.int64()), pa.array(sizes + [None] * m, pa.int64()),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), _signed(values[common])]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(counts[common], pa.int64())]),
-            ], ["doc_id", "set_id", "n_shingles", "shingle", "texts"])
+                *([pa.concat_arrays([batch.column("at"), pa.nulls(m, pa.int64())])] if at else []),
+            ], ["doc_id", "set_id", "n_shingles", "shingle", "texts", *(["at"] if at else [])])
     return run
 
 
@@ -253,10 +255,40 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
     either. Repeated rows come back as often as they came. A null doc_id is never the smallest; a component of such
     rows alone has a null id. An empty table gives an empty table. Other columns are ignored.
     """
-    spark, percent = docs.sparkSession, settings.percent
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     surveyed = store_once(texts.mapInArrow(_survey(settings.common_share), _SURVEY), "survey")
     named = surveyed.where("set_id IS NOT NULL").select("doc_id", "set_id", "n_shingles")
+    reached = _groups(texts, surveyed, settings)
+    least = reached.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    component = reached.join(least, "label").select(F.col("set_id").alias("of"), "component_id")
+    return (named.join(component, named["set_id"] == component["of"], "left")
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def first_of_each_group(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, whatever else), unchanged, but one of those that links connect: that with the
+    smallest doc_id, nulls last, then the smallest hash of the row. Rows without words link with nothing and all stay.
+
+    Texts are read once more but not shuffled: a row is known by its doc_id and the hash of its text. Equal rows are told
+    apart by a number that their task gives them, after the table is stored.
+    """
+    held = store_once(docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                                  F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("at")), "grouped")
+    texts = held.select("doc_id", "text", "at")
+    surveyed = store_once(texts.select("doc_id", "text", "at").mapInArrow(_survey(settings.common_share, at=True), _SURVEY + ", at long"), "survey")
+    reached = _groups(texts.select("doc_id", "text"), surveyed.drop("at"), settings).select(F.col("set_id").alias("of"), "label")
+    rows = surveyed.where("set_id IS NOT NULL")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("set_id", "at").alias("h"), "at")
+    grouped = rows.where("n_shingles > 0").join(reached, rows["set_id"] == F.col("of")).groupBy("label").agg(F.min(order).alias("first"))
+    kept = grouped.select(F.col("first.at").alias("kept_at")).unionByName(rows.where("n_shingles = 0").select(F.col("at").alias("kept_at")))
+    return held.join(kept, held["at"] == kept["kept_at"], "left_semi").select("row.*")
+
+
+def _groups(texts: DataFrame, surveyed: DataFrame, settings: JoinSettings) -> DataFrame:
+    """(set_id, doc_id, label) for every set with words: its smallest doc_id, and what all sets it reaches share."""
+    percent = settings.percent
+    named = surveyed.where("set_id IS NOT NULL").select("doc_id", "set_id", "n_shingles")
     sets = named.where("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"))
     rows, shingles = named.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
@@ -291,13 +323,8 @@ def shingle_join(docs: DataFrame, settings: JoinSettings = JoinSettings()) -> Da
         .groupBy("set_id").agg(F.first("shingles").alias("shingles")), "sets")
 
     labels = connected_components(_join_cells(members, whole, settings))
-    reached = (sets.select("set_id", "doc_id").join(labels, sets["set_id"] == labels["node"], "left")
-               .select("set_id", "doc_id", F.coalesce("label", "set_id").alias("label")))
-    least = reached.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    component = reached.join(least, "label").select(F.col("set_id").alias("of"), "component_id")
-    return (named.join(component, named["set_id"] == component["of"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return (sets.select("set_id", "doc_id").join(labels, sets["set_id"] == labels["node"], "left")
+            .select("set_id", "doc_id", F.coalesce("label", "set_id").alias("label")))
 
 
 def _join_cells(members: DataFrame, sets: DataFrame, settings: JoinSettings) -> DataFrame:

@@ -29,7 +29,8 @@ class MixSettings:
     learns from, chosen by hash. ``features``: most words that speak for a domain. ``significance``: least G statistic of
     such a word. ``smoothing``: added counts of documents. ``upsample``: whether a domain with fewer tokens than its target
     is repeated; if not, what there is of it is its target. ``most_rate``: upper bound of every rate, none if null.
-    ``levels``: posteriors are rounded to one part in so many. ``steps``, ``tolerance``: of the fit."""
+    ``levels``: documents whose posteriors round to the same parts in so many share a rate. ``steps``: most of the fit,
+    which ends when every domain is within ``tolerance`` of its own target."""
 
     weights: dict[str, float] = field(default_factory=lambda: {"clean": 0.97, "low": 0.02, "toxic": 0.01})
     labelled_documents: int = 20_000
@@ -39,8 +40,8 @@ class MixSettings:
     upsample: bool = True
     most_rate: float | None = None
     levels: int = 200
-    steps: int = 80
-    tolerance: float = 2e-4
+    steps: int = 300
+    tolerance: float = 2e-3
 
 
 @dataclass
@@ -111,7 +112,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, settings: MixSettings = Mi
 
 
 def with_posteriors(rows: DataFrame, model: DomainModel, settings: MixSettings = MixSettings()) -> DataFrame:
-    """``rows`` (with a column text) with n_tokens and p, the rounded posterior per domain; in one pass, no shuffle."""
+    """``rows`` (with a column text) with n_tokens, p (the posterior per domain) and bin (the rounded one); in one pass, no shuffle."""
     every = sorted({word for weights in model.weights for word in weights})
     listed = F.array(*[F.lit(w).cast("long") for w in every]).cast("array<bigint>")
     counted = _with_seen(rows).withColumn("hits", F.array_intersect("seen", listed))
@@ -124,70 +125,80 @@ def with_posteriors(rows: DataFrame, model: DomainModel, settings: MixSettings =
     names = [F.lit(0.0), *[F.col(f"_logit{d}") for d in range(1, len(DOMAINS))]]
     top = logits.withColumn("_top", F.greatest(*names))
     parts = [F.exp(x - F.col("_top")) for x in names]
-    others = [F.round(x / sum(parts[1:], parts[0]) * settings.levels) / settings.levels for x in parts[1:]]
-    p = F.array((F.lit(1.0) - sum(others[1:], others[0])), *others)
-    return top.withColumns({"n_tokens": F.size("words").cast("long"), "p": p}).drop(
+    shares = [x / sum(parts[1:], parts[0]) for x in parts]
+    return top.withColumns({"n_tokens": F.size("words").cast("long"), "p": F.array(*shares), "bin": bin_of(shares[1:], settings)}).drop(
         "words", "seen", "hits", "_top", *[f"_logit{d}" for d in range(1, len(DOMAINS))])
 
 
-def _rates(steps: list[tuple[float, list[float]]], most: float | None) -> tuple[Column, Column]:
-    """A document's rate after these steps, and the point from which the next one would go."""
-    bounded = lambda x: F.greatest(F.lit(0.0), x if most is None else F.least(F.lit(float(most)), x))
-    kind = "array<struct<push:double,pull:array<double>>>"
-    table = F.from_json(F.lit(json.dumps([{"push": push, "pull": pull} for push, pull in steps])), kind)
-    dot = lambda pull: sum((F.get(pull, d) * F.get("p", d) for d in range(1, len(DOMAINS))), F.get(pull, F.lit(0)) * F.get("p", F.lit(0)))
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("at"))
-    walked = F.aggregate(table, start, lambda done, s: F.struct(
-        bounded(done["at"] - dot(s["pull"])).alias("rate"),
-        (bounded(done["at"] - dot(s["pull"])) * (1 + s["push"]) - done["rate"] * s["push"]).alias("at")))
-    return walked["rate"], walked["at"]
-
-
-def fit_rates(members: DataFrame, settings: MixSettings = MixSettings()) -> list[tuple[float, list[float]]]:
-    """The steps of an accelerated projected gradient descent from rate 1, over all of ``members`` (n_tokens, p).
-
-    Minimised is the squared distance between expected and target tokens per domain. The total is what leaves the domain
-    with the largest weight at its present size. Each step is one aggregate over the members, pre-aggregated by their
-    rounded posteriors; what comes back is one number per domain. Where bounded rates can't meet a target, it ends when
-    a step changes next to nothing. No tokens: no steps.
+def bin_of(shares: list[Column], settings: MixSettings) -> Column:
+    """Which documents share a rate: those of like posteriors. The first domain's share follows from the others."""
+    code = F.lit(0)
+    for x in shares:
+        code = code * (settings.levels + 1) + F.round(x * settings.levels).cast("int")
+    return code
+
+
+def fit_rates(members: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
+    """(bin, rate): accelerated projected gradient descent from rate 1, over all of ``members`` (n_tokens, p, bin).
+
+    Minimised is the squared distance between expected and target tokens per domain, each measured by its target. The
+    total is what leaves the domain with the largest weight at its present size. The members of a bin share a rate, and
+    the bin carries the sums of their own tokens and posteriors, so expected totals are those of the unrounded
+    posteriors. There are at most (``levels`` + 1) ** (domains - 1) bins, whatever the input. Each step is one pass over
+    the bins, and one number a domain comes back. Where bounded rates can't meet a target, it ends when a step no longer
+    moves any total. No tokens: no bins.
     """
     k, weights = len(DOMAINS), [settings.weights[d] for d in DOMAINS]
-    cells = store_once(members.groupBy("p").agg(F.sum("n_tokens").cast("double").alias("t")).coalesce(1), "mixture")
     p = [F.get("p", F.lit(d)) for d in range(k)]
-    first = cells.agg(F.sum("t").alias("all"), *[F.sum(F.col("t") * p[i]).alias(f"s{i}") for i in range(k)],
-                      *[F.sum(F.col("t") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k)]).first()
+    bins = store_once(members.groupBy("bin").agg(F.sum("n_tokens").cast("double").alias("t"), *[F.sum(F.col("n_tokens") * p[d]).alias(f"t{d}") for d in range(k)])
+                      .where("t > 0").coalesce(1), "mixture")
+    own = [F.col(f"t{d}") for d in range(k)]
+    first = bins.agg(F.sum("t").alias("all"), *[F.sum(own[d]).alias(f"s{d}") for d in range(k)],
+                     *[F.sum(own[i] * own[j] / F.col("t")).alias(f"m{i}_{j}") for i in range(k) for j in range(k)]).first()
     if not first["all"]:
-        return []
-    total = first["all"]
+        return bins.select("bin", F.lit(1.0).alias("rate"))
     main = max(range(k), key=lambda d: weights[d])
-    target = [first[f"s{main}"] / weights[main] * w / total for w in weights]
+    target = [first[f"s{main}"] / weights[main] * w for w in weights]
     if not settings.upsample:
-        target = [min(t, first[f"s{d}"] / total) for d, t in enumerate(target)]
-    matrix = [[first[f"m{i}_{j}"] / total for j in range(k)] for i in range(k)]
+        target = [min(t, first[f"s{d}"]) for d, t in enumerate(target)]
+    scale = [1 / t if t > 0 else 0.0 for t in target]  # a domain without target is left alone
+    # a bin of t tokens and mean posteriors q moves by q . pull; the step fits the largest eigenvalue of the scaled moments
+    matrix = [[first[f"m{i}_{j}"] * scale[i] * scale[j] for j in range(k)] for i in range(k)]
     vector, largest = [1.0] * k, 1.0
     for _ in range(100):
         vector = [sum(a * b for a, b in zip(row, vector)) for row in matrix]
         largest = max(map(abs, vector)) or 1.0
         vector = [v / largest for v in vector]
-    steps: list[tuple[float, list[float]]] = []
-    before = [math.inf] * k
+    bounded = lambda x: F.greatest(F.lit(0.0), x if settings.most_rate is None else F.least(F.lit(float(settings.most_rate)), x))
+    kind = "array<struct<push:double,pull:array<double>>>"
+
+    def walked(pulls: list[tuple[float, list[float]]]) -> Column:
+        """A bin's rate after these steps, and the point from which the next one would go."""
+        table = F.from_json(F.lit(json.dumps([{"push": push, "pull": pull} for push, pull in pulls])), kind)
+        moved = lambda done, s: bounded(done["at"] - sum((F.get(s["pull"], F.lit(d)) * own[d] / F.col("t") for d in range(k)), F.lit(0.0)))
+        return F.aggregate(table, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("at")), lambda done, s: F.struct(
+            moved(done, s).alias("rate"), (moved(done, s) * (1 + s["push"]) - done["rate"] * s["push"]).alias("at")))
+
+    pulls: list[tuple[float, list[float]]] = []
+    before: list[float] = []
     for i in range(settings.steps):
-        _, at = _rates(steps, settings.most_rate)
-        sums = cells.withColumn("at", at).agg(*[F.sum(F.col("t") * F.col("at") * p[d]).alias(f"s{d}") for d in range(k)]).first()
-        miss = [sums[d] / total - target[d] for d in range(k)]
-        stalled = settings.most_rate is not None and i > 5 and max(abs(x - y) for x, y in zip(miss, before)) < settings.tolerance / 2
+        sums = bins.withColumn("at", walked(pulls)["at"]).agg(*[F.sum(own[d] * F.col("at")).alias(f"s{d}") for d in range(k)]).first()
+        miss = [(sums[d] - target[d]) * scale[d] for d in range(k)]
+        stalled = before and max(abs(x - y) for x, y in zip(miss, before)) < settings.tolerance / 1000
         if max(map(abs, miss)) < settings.tolerance or stalled:
             break
         before = miss
-        steps.append((i / (i + 3), [m / (1.05 * largest) for m in miss]))
-    return steps
+        pulls.append((i / (i + 3), [m * s / (1.05 * largest) for m, s in zip(miss, scale)]))
+    return bins.select("bin", walked(pulls)["rate"].alias("rate"))
 
 
-def with_rates(members: DataFrame, steps: list[tuple[float, list[float]]], key: Column, most: float | None = None) -> DataFrame:
-    """``members`` with rate, and copies: the rate rounded down or up by a draw that ``key`` alone decides."""
-    rate = F.round(_rates(steps, most)[0], 6)
+def with_rates(members: DataFrame, rates: DataFrame, key: Column) -> DataFrame:
+    """``members`` with rate, and copies: the rate rounded down or up by a draw that ``key`` alone decides. The bins are
+    broadcast; their number is bounded, see :func:`fit_rates`."""
     draw = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1_000_000)) / 1_000_000
-    return members.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
+    rated = members.join(F.broadcast(rates.select(F.col("bin").alias("_bin"), F.round("rate", 6).alias("rate"))), F.col("bin") == F.col("_bin"), "left")
+    return (rated.withColumn("rate", F.coalesce("rate", F.lit(1.0))).withColumn("copies", F.floor(F.col("rate") + draw).cast("long"))
+            .drop("_bin", "bin"))
 
 
 def mixture(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
@@ -199,7 +210,7 @@ def mixture(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSetti
     model = learn_domains(docs, labels, settings)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).drop("text"), "members")
-    rated = with_rates(members, fit_rates(members, settings), F.col("key"), settings.most_rate)
+    rated = with_rates(members, fit_rates(members, settings), F.col("key"))
     return rated.select("doc_id", "n_tokens", *[F.get("p", F.lit(d)).alias(f"p_{name}") for d, name in enumerate(DOMAINS)], "rate", "copies")
 
 
@@ -208,6 +219,6 @@ def resample(docs: DataFrame, labels: DataFrame, settings: MixSettings = MixSett
     the posterior would be worked out anew within each step of the rate."""
     model = learn_domains(docs, labels, settings)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).select("row", "n_tokens", "p", "key"), "members")
-    rated = with_rates(members, fit_rates(members.select("n_tokens", "p"), settings), F.col("key"), settings.most_rate).where("copies > 0")
+    members = store_once(with_posteriors(rows, model, settings).withColumn("key", F.xxhash64("doc_id", "text")).select("row", "n_tokens", "p", "bin", "key"), "members")
+    rated = with_rates(members, fit_rates(members.select("n_tokens", "p", "bin"), settings), F.col("key")).where("copies > 0")
     return rated.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")

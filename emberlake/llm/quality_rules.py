@@ -41,21 +41,27 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), BLANKS), lambda w: w != "")
 
 
-def _repeated_words() -> tuple[Column, Column, Column]:
-    """Words within 3-word windows found twice or more: equal windows become neighbours when sorted by hash."""
-    windows = F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.struct(
-        F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("i")))
+def _gram_hashes(n: int) -> Column:
+    """A hash for each run of ``n`` words, from ``hashes``, which has each word's own: a word is hashed once."""
+    if n == 1:
+        return F.col("hashes")
+    grams = F.transform("hashes", lambda h, i: F.xxhash64(h, *[F.get("hashes", i + k) for k in range(1, n)]))
+    return F.slice(grams, 1, F.greatest(F.size("hashes") - n + 1, F.lit(0)))
+
+
+def _covered() -> tuple[Column, Column]:
+    """Places of 3-word windows found twice or more (equal ones are neighbours when sorted), and the words they cover."""
     twice = F.filter("s", lambda x, j: (F.get("s", j - 1)["h"] == x["h"]).eqNullSafe(True) | (F.get("s", j + 1)["h"] == x["h"]).eqNullSafe(True))
     places = F.array_sort(F.transform(twice, lambda x: x["i"]))
     # each place covers three words, but for those that the next place covers too
     covered = F.aggregate("places", F.struct(F.lit(0).alias("n"), F.lit(-3).alias("end")), lambda done, p: F.struct(
         (done["n"] + F.least(F.lit(3), p - done["end"])).alias("n"), p.alias("end")))
-    return windows, places, covered
+    return places, covered
 
 
 def base_figures(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (and ``words``) added."""
-    windows, places, covered = _repeated_words()
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (and ``hashes``) added."""
+    places, covered = _covered()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     counted = docs.withColumn("words", words_of(F.col("text"))).withColumns({
@@ -63,10 +69,11 @@ def base_figures(docs: DataFrame) -> DataFrame:
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "lines": lines,
-        "windows": F.when(F.size("words") >= 3, windows),
-    })
-    several = F.size("windows") > F.size(F.array_distinct(F.transform("windows", lambda w: w["h"])))
-    placed = counted.withColumn("s", F.when(several, F.array_sort("windows"))).withColumn("places", F.when(F.col("s").isNotNull(), places))
+        "hashes": F.transform("words", lambda w: F.xxhash64(w)),
+    }).drop("words").withColumn("windows", _gram_hashes(3))
+    several = F.size("windows") > F.size(F.array_distinct("windows"))
+    paired = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = counted.withColumn("s", F.when(several, paired)).withColumn("places", F.when(F.col("s").isNotNull(), places))
     full = placed.withColumns({
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "n_repeat_words": F.coalesce(F.when(F.col("places").isNotNull(), covered["n"]), F.lit(0)).cast("long"),
@@ -75,13 +82,9 @@ def base_figures(docs: DataFrame) -> DataFrame:
     return full.withColumn("base_failed", failed).drop("lines", "windows", "s", "places")
 
 
-def _cells(words: Column, settings: QualitySettings) -> Column:
-    """The cells of all n-grams of up to ``most_words`` words."""
-    hashed = []
-    for n in range(1, settings.most_words + 1):
-        grams = F.transform(words, lambda w, i: F.pmod(F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]), F.lit(settings.cells)).cast("int"))
-        hashed.append(F.slice(grams, 1, F.greatest(F.size(words) - n + 1, F.lit(0))) if n > 1 else grams)
-    return F.concat(*hashed)
+def _cells(settings: QualitySettings) -> list[Column]:
+    """The cells of all n-grams of ``hashes``, an array for each n up to ``most_words``."""
+    return [F.transform(_gram_hashes(n), lambda h: F.pmod(h, F.lit(settings.cells)).cast("int")) for n in range(1, settings.most_words + 1)]
 
 
 def gram_ratios(docs: DataFrame, trusted: DataFrame, settings: QualitySettings = QualitySettings()) -> list[float]:
@@ -95,9 +98,9 @@ def gram_ratios(docs: DataFrame, trusted: DataFrame, settings: QualitySettings =
            .orderBy(F.xxhash64("t_id"), "t_id").limit(settings.trusted_documents).withColumn("trusted", F.lit(1)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = rows.join(F.broadcast(ids), rows["doc_id"] == ids["t_id"], "left")
-    # words must be a column of their own: inside a lambda an expression is evaluated for each element
-    counts = (marked.select("trusted", words_of(F.col("text")).alias("words"))
-              .select("trusted", F.explode(_cells(F.col("words"), settings)).alias("cell"))
+    # hashes must be a column of their own: inside a lambda an expression is evaluated for each element
+    counts = (marked.select("trusted", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
+              .select("trusted", F.explode(F.concat(*_cells(settings))).alias("cell"))
               .groupBy("cell").agg(F.count("trusted").alias("t"), F.count("*").alias("r")).collect())
     target, raw = [0.0] * settings.cells, [0.0] * settings.cells
     for row in counts:
@@ -112,18 +115,19 @@ def gram_ratios(docs: DataFrame, trusted: DataFrame, settings: QualitySettings =
     return [math.log(t / r) for t, r in zip(shares(target), shares(raw))]
 
 
-def likelihood_ratio(ratios: list[float], settings: QualitySettings) -> tuple[Column, Column]:
-    """The cells of ``words``, and the mean log ratio of a column ``cells``; 0 without words."""
+def likelihood_ratio(ratios: list[float], settings: QualitySettings) -> Column:
+    """The mean log ratio of the n-grams of ``hashes``; 0 without words."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    cells = _cells(F.col("words"), settings)
-    total = F.aggregate("cells", F.lit(0.0), lambda done, c: done + F.get(table, c))
-    return cells, F.when(F.size("cells") > 0, total / F.size("cells")).otherwise(F.lit(0.0))
+    cell = lambda h: F.pmod(h, F.lit(settings.cells)).cast("int")
+    total = sum((F.aggregate(_gram_hashes(n), F.lit(0.0), lambda done, h: done + F.get(table, cell(h))) for n in range(1, settings.most_words + 1)), F.lit(0.0))
+    grams = sum((F.greatest(F.size("hashes") - n + 1, F.lit(0)) for n in range(1, settings.most_words + 1)), F.lit(0))
+    return F.when(F.size("hashes") > 0, total / grams).otherwise(F.lit(0.0))
 
 
 def scored(docs: DataFrame, trusted: DataFrame, settings: QualitySettings = QualitySettings()) -> DataFrame:
     """``docs`` with the base figures and ``score``; one pass over the texts, without a shuffle."""
-    cells, score = likelihood_ratio(gram_ratios(docs, trusted, settings), settings)
-    return base_figures(docs).withColumn("cells", cells).withColumn("score", score).drop("cells", "words")
+    score = likelihood_ratio(gram_ratios(docs, trusted, settings), settings)
+    return base_figures(docs).withColumn("score", score).drop("hashes")
 
 
 def threshold(scores: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()) -> float:

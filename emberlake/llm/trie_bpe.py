@@ -28,10 +28,27 @@ _BLANK = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 _RAW_WORD = re.compile(f"[^{_BLANK}]+")
 #: The split pattern of the vocabulary file, applied to lower-cased words.
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: What is letter or number in tables newer than the library's (Unicode 16), and not to the library.
+_NEWER_RANGES = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
+    (0x10940, 0x10959), (0x10EC5, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16ED3),
+    (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DFFF), (0x1E6C0, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E),
+    (0x2CEA2, 0x2CEAD), (0x323B0, 0x3FC3F)]
+#: Lower case of the capitals of Unicode 16 and 17, where Python's tables are older.
+_NEWER_LOWER = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{c: c + 32 for c in range(0x10D50, 0x10D66)}, **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}}
+_NEWER_CLASS = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _NEWER_RANGES)
+_NEWER = regex.compile(f"[{_NEWER_CLASS}]")
+_PIECE_WITH_NEWER = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_NEWER_CLASS}]]+|[\p{{N}}--[{_NEWER_CLASS}]]|(?:[^\s\p{{L}}\p{{N}}]|[{_NEWER_CLASS}])+")
 #: Characters that Python's own split takes as blank and the normalizer doesn't.
 _ODD_BLANK = re.compile("[\x1c-\x1f]")
-CACHED_WORDS = 700_000
-CACHED_CHARACTERS = 10_000_000
+#: What a worker keeps between batches: words, their characters in all, and answers about pairs of tokens; some 60 MB.
+CACHED_WORDS = 150_000
+CACHED_CHARACTERS = 3_000_000
+CACHED_PAIRS = 300_000
 
 
 def _byte_characters() -> dict[int, str]:
@@ -41,6 +58,11 @@ def _byte_characters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
 
 
+def _pieces(word: str) -> list[str]:
+    word = _normal(word)
+    return (_PIECE if word.isascii() or not _NEWER.search(word) else _PIECE_WITH_NEWER).findall(word)
+
+
 def _reach(tokens: dict[str, str]) -> dict[str, int]:
     """The longest token for each pair of last characters."""
     reach: dict[str, int] = {}
@@ -128,9 +150,9 @@ class TrieBpe:
         if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARACTERS:
             self.known.clear()
             self.held = 0
-        if len(self.fits) > 4 * CACHED_WORDS:
+        if len(self.fits) > CACHED_PAIRS:
             self.fits.clear()
-        pieces = {w: [x.encode() for x in _PIECE.findall(_normal(w))] for w in raw if w not in self.known}
+        pieces = {w: [x.encode() for x in _pieces(w)] for w in raw if w not in self.known}
         spelled = {p: "".join(map(self.letters.__getitem__, p)) for ps in pieces.values() for p in ps}
         tokens = dict(self.walk(list(set(spelled.values()))))
         self.held += sum(map(len, pieces))
@@ -159,7 +181,9 @@ class TrieBpe:
 
 def _normal(word: str) -> str:
     """Composed and lower-cased character by character, so a final sigma is an ordinary one."""
-    return unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+    if word.isascii():
+        return word.lower()
+    return unicodedata.normalize("NFC", word).replace("Σ", "σ").translate(_NEWER_LOWER).lower()
 
 
 @lru_cache(maxsize=2)
@@ -176,7 +200,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     Encodes every whole text as the tokenizers library does with the file ``vocabulary``, which must be readable on the
     executors, without added special tokens; strings of special tokens inside a text are these tokens. Null texts count
     as empty and have no ids. Rows come back as often as they came. What a worker keeps between batches is bounded by
-    ``CACHED_WORDS`` and ``CACHED_CHARACTERS`` besides one run of texts, whatever the texts hold.
+    ``CACHED_WORDS``, ``CACHED_CHARACTERS`` and ``CACHED_PAIRS`` besides one run of texts, whatever the texts hold. An empty
+    table gives an empty table.
     """
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
 
