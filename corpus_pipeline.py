@@ -18,19 +18,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest doc_id stays, once; rows without doc_id stay all."""
-    kept = (jaccard_join.shingle_join(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct())
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(*docs.columns).alias("key"))
-    first = F.row_number().over(_by_id())
-    with_id = (rows.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-               .withColumn("n", first).where("n = 1"))
-    return with_id.select("row.*").unionByName(rows.where("doc_id IS NULL").select("row.*"))
-
-
-def _by_id():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("doc_id").orderBy("key")
+    """Of the rows that links connect one stays, that with the smallest doc_id (rows without one last), then the smallest
+    hash. Rows of one doc_id whose texts nothing links all stay, and so do rows without words."""
+    return jaccard_join.first_of_each_group(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
