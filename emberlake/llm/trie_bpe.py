@@ -32,8 +32,8 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 _NEWER_RANGES = [
     (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
     (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
-    (0x10940, 0x10959), (0x10EC5, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16ED3),
-    (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x10940, 0x10959), (0x10EC5, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
     (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DFFF), (0x1E6C0, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E),
     (0x2CEA2, 0x2CEAD), (0x323B0, 0x3FC3F)]
 #: Lower case of the capitals of Unicode 16 and 17, where Python's tables are older.
