@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlake.llm.common import store_once, text_key
@@ -39,25 +39,16 @@ class ScanSettings:
     scope: int = 200
 
 
-def _spans(text: Column, kind: str) -> Column:
-    """(kind, start, end) of all matches, leftmost and not overlapping, from the lengths of matches and of what lies
-    between. Most texts have no match and are seen once only."""
+def _pieces(text: Column, kind: str) -> Column:
+    """(gap, size, value) of all matches, leftmost and not overlapping: how much lies between the match before and this
+    one, its length, its value's length. Most texts have no match and are seen once only."""
     pattern = PATTERNS[kind]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else None
-    pairs = F.arrays_zip(
-        F.transform(between, lambda x: F.length(x)).alias("gap"), F.transform(found, lambda x: F.length(x)).alias("size"),
-        *([F.transform(value, lambda x: F.length(x)).alias("value")] if kind == "assign" else []))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:int>>")
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), lambda done, p: F.struct(
-        (done["at"] + p["gap"] + F.coalesce(p["size"], F.lit(0))).alias("at"),
-        F.when(p["size"].isNull(), done["spans"]).otherwise(F.concat(done["spans"], F.array(F.struct(
-            F.lit(kind).alias("kind"), (done["at"] + p["gap"]).alias("start"), (done["at"] + p["gap"] + p["size"]).alias("end"),
-            (p["value"] if kind == "assign" else F.lit(LEAST_VALUE)).alias("value"))))).alias("spans")))
-    kept = F.filter(walked["spans"], lambda s: s["value"] >= LEAST_VALUE)
-    return F.when(text.rlike(pattern), F.transform(kept, lambda s: F.struct(s["kind"], s["start"], s["end"]))).otherwise(
-        F.array().cast("array<struct<kind:string,start:int,end:int>>"))
+    lengths = lambda strings: F.transform(strings, lambda x: F.length(x))
+    found = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    value = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(2))) if kind == "assign" else F.transform(found, lambda x: F.lit(LEAST_VALUE))
+    pairs = F.arrays_zip(lengths(F.split(text, pattern, -1)).alias("gap"), found.alias("size"), value.alias("value"))
+    return F.when(text.rlike(pattern), F.filter(pairs, lambda p: p["size"].isNotNull())).otherwise(
+        F.array().cast("array<struct<gap:int,size:int,value:int>>"))
 
 
 def _ordered(spans: Column) -> Column:
@@ -71,42 +62,60 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_parts(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base`` and ``weak``, arrays of (kind, start, end) in code points; a null text has none."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    found = docs.withColumns({f"_{kind}": _spans(text, kind) for kind in PATTERNS})
-    return found.select(*docs.columns, F.concat(*[f"_{k}" for k in BASE]).alias("base"),
-                        F.concat(*[f"_{k}" for k in PATTERNS if k not in BASE]).alias("weak"))
+def measure(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, at) and for each kind the lengths of its matches and of what lies between, stored.
+
+    ``at`` names a row. This is the only pass over the texts, which are neither shuffled nor stored.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return store_once(rows.select("doc_id", text_key().alias("text_key"), F.monotonically_increasing_id().alias("at"),
+                                  *[_pieces(text, kind).alias(kind) for kind in PATTERNS]), "measured")
+
+
+def find_parts(measured: DataFrame) -> DataFrame:
+    """(at, kind, start, end, has_weak): the parts of every measured text.
+
+    Places are running sums of gaps and lengths, taken by a window over the matches of one row and kind, so that many
+    matches in one text cost no more than as many in many texts. Only numbers are shuffled. A null text has no parts.
+    """
+    def named(kind: str) -> Column:
+        return F.transform(kind, lambda p, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), p["gap"].alias("gap"), p["size"].alias("size"), p["value"].alias("value")))
+
+    weak = F.greatest(*[F.size(kind) for kind in NEEDS]) > 0
+    each = measured.select("at", weak.alias("has_weak"), F.explode(F.concat(*[named(kind) for kind in PATTERNS])).alias("p")).select("at", "has_weak", "p.*")
+    so_far = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("at", "kind").orderBy("pos"))
+    return (each.withColumn("end", so_far.cast("int")).where(F.col("value") >= LEAST_VALUE)
+            .select("at", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "has_weak"))
 
 
 def link_parts(found: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
-    """(doc_id, text_key, linked): the weak spans of each text whose complementary parts stand within the scope.
+    """(at, kind, start, end): the weak parts among ``found`` whose complementary parts stand within the scope.
 
-    ``found`` has doc_id, text_key, base and weak. The interval join is on text and bin: a weak part is in all bins that
-    its scope touches, from before its start to behind its end, any other part in the bins it covers itself. A bin holds a
-    bounded number of parts because each has several characters. Spans that a base span covers are not reported again.
+    The interval join is on row and bin: a weak part is in all bins that its scope touches, from before its start to
+    behind its end, any other part in the bins it covers itself. A bin holds a bounded number of parts because each has
+    several characters. Parts that a base part covers are not reported again; a covering part is in the bin of the
+    covered one's start.
     """
-    row = ["doc_id", "text_key"]
     width = settings.scope
-    every = found.where(F.size("weak") > 0).select(*row, F.explode(F.concat("base", "weak")).alias("s")).select(*row, "s.*").distinct()
     role = F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair])
-    parts = every.withColumn("role", F.element_at(role, F.col("kind")))
+    parts = found.where("has_weak").select("at", "kind", "start", "end", F.element_at(role, F.col("kind")).alias("role"))
     bins = lambda first, last: F.explode(F.expr(f"sequence(CAST(greatest({first}, 0) div {width} AS int), CAST(({last}) div {width} AS int))"))
-    near = parts.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("role").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"),
+    near = parts.select(F.col("at").alias("t"), "kind", F.col("role").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"),
                         bins("start", "end").alias("b"))
+    met = (F.col("at") == F.col("t")) & (F.col("bin") == F.col("b"))
     linked = None
     for kind, needs in NEEDS.items():
-        weak = parts.where(F.col("kind") == kind)
+        weak = parts.where(F.col("kind") == kind).select("at", "kind", "start", "end")
         for need in needs:
-            other = near.where(F.col("r") == need)
             weak = weak.withColumn("bin", bins(f"start - {width}", f"end + {width}")).join(
-                other, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("bin") == F.col("b"))
-                & (F.col("s") - F.col("end") <= width) & (F.col("start") - F.col("e") <= width), "left_semi").drop("bin").distinct()
+                near.where(F.col("r") == need).drop("kind"),
+                met & (F.col("s") - F.col("end") <= width) & (F.col("start") - F.col("e") <= width), "left_semi").drop("bin").distinct()
         linked = weak if linked is None else linked.unionByName(weak)
-    covered = parts.where(F.col("kind").isin(BASE)).select(
-        F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("start").alias("s"), F.col("end").alias("e"))
-    bare = linked.join(covered, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("s") <= F.col("start")) & (F.col("end") <= F.col("e")), "left_anti")
-    return bare.groupBy(*row).agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
+    covering = near.where(F.col("kind").isin(BASE)).drop("kind")
+    return (linked.withColumn("bin", F.expr(f"CAST(start div {width} AS int)"))
+            .join(covering, met & (F.col("s") <= F.col("start")) & (F.col("end") <= F.col("e")), "left_anti").drop("bin"))
 
 
 def scan(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
@@ -114,17 +123,19 @@ def scan(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
 
     ``found`` lists all spans (kind, start, end; code points, end exclusive) by start; ``spans`` is the same as text. Null
     and empty texts have none. Rows of one doc_id and other texts are kept apart; repeated rows come back as often as
-    they came. Texts are read whole, in one pass, and not shuffled: only texts with weak parts take part in the join,
-    and of these only places.
+    they came. An empty table gives an empty one. Texts are read whole and not shuffled: only places are, and only texts
+    with weak parts take part in the join. Rows are told apart by a number that their task gives them before they are stored.
     """
-    found = store_once(find_parts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", text_key())).drop("text"), "parts")
-    linked = link_parts(found, settings).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "linked")
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    joined = found.join(linked, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    ordered = joined.withColumns({"base": _ordered(F.col("base")), "found": _ordered(F.concat("base", F.coalesce("linked", none)))})
+    held = measure(docs)
+    parts = store_once(find_parts(held), "parts")
+    base = F.filter("found", lambda s: s["kind"].isin(BASE))
+    spans = (parts.where(F.col("kind").isin(BASE)).select("at", "kind", "start", "end").unionByName(link_parts(parts, settings))
+             .groupBy(F.col("at").alias("t")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("found")))
+    found = held.select("doc_id", "text_key", "at").join(spans, F.col("at") == F.col("t"), "left").withColumn(
+        "found", _ordered(F.coalesce("found", F.array().cast("array<struct<kind:string,start:int,end:int>>")))).withColumn("base", base)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return ordered.select("doc_id", "text_key", *[count(k) for k in BASE], F.sha2(_shown(F.col("base")), 256).alias("base_sha256"),
-                          _shown(F.col("found")).alias("spans"), F.coalesce(F.size("linked"), F.lit(0)).cast("long").alias("n_linked"), "found")
+    return found.select("doc_id", "text_key", *[count(k) for k in BASE], F.sha2(_shown(F.col("base")), 256).alias("base_sha256"),
+                        _shown(F.col("found")).alias("spans"), (F.size("found") - F.size("base")).cast("long").alias("n_linked"), "found")
 
 
 def redact(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:

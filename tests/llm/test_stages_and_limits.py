@@ -7,7 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from emberlake.llm import chat_format, trie_bpe
+from emberlake.llm import chat_format, secret_scan, trie_bpe
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -46,3 +46,13 @@ def test_one_row_of_each_group_stays_and_no_other_goes(spark):
     got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
     assert got == sorted([(3, near), (9, other), (None, "x y z"), (5, None), (5, ""), (5, None), (6, "x y")], key=repr)
     assert corpus_pipeline.near_duplicates(spark, docs.where("false"), "").isEmpty()
+
+
+def test_thousands_of_spans_in_one_text(spark):
+    pair, n = "user=alice " + "aB3" * 12 + " ", 20_000
+    text = "\U0001f600" + pair * n + "password=0123456789abcdef0123456789abcdef" + " " * 300 + "user=bob"
+    row = secret_scan.scan(spark.createDataFrame([(1, text), (1, "user=alice"), (1, text)], "doc_id long, text string")).orderBy("n_linked").collect()
+    assert [r.n_linked for r in row] == [0, 2 * n, 2 * n] and row[1].spans == row[2].spans
+    at = 1 + n * len(pair)
+    wanted = [span for i in range(1, at, len(pair)) for span in (f"ident:{i}:{i + 10}", f"blob:{i + 11}:{i + 47}")]
+    assert row[1].spans == ",".join([*wanted, f"assign:{at}:{at + 41}", f"hex:{at + 9}:{at + 41}"])
