@@ -1,7 +1,7 @@
 """Token counts of flat token files, found by scanning for the end-of-document identifier.
 
 A token file is nothing but identifiers of a fixed width, documents one after the other, each ended by a separator; there
-is no index. Blocks of the files are searched in parallel and whole, in array operations. A document may begin in an
+is no index. Ranges of the files are read and searched in parallel, each whole in one array operation. A document may begin in an
 earlier block, or lie across several: a prefix scan over the blocks of a file, which carries only the number of
 separators before a block and the last one's place, stitches them.
 """
@@ -11,15 +11,20 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from emberlake.llm.common import rows_per_partition, store_once
 from emberlake.session import new_work_dir
 
 BLOCK_TOKENS = 1 << 19
+TASK_BYTES = 1 << 25
+RUN_BLOCKS = 4096
 FILE_RECORDS = 20_000
 _WIDTHS = {2: "<u2", 4: "<u4"}
 
@@ -60,53 +65,77 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
      .option("maxRecordsPerFile", FILE_RECORDS).text(path))
 
 
-def _blocks(spark: SparkSession, path: str, width: int, block_tokens: int) -> DataFrame:
-    """(file, block, tokens): the files' contents in blocks of whole identifiers."""
-    size = block_tokens * width
-    files = spark.read.format("binaryFile").load(path)
-    cut = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("length") - 1) / size)).cast("int"))
-    return (files.select(F.col("path").alias("file"), "content", F.explode(cut).alias("block"))
-            .select("file", F.col("block").cast("long").alias("block"), F.expr(f"substring(content, block * {size} + 1, {size})").alias("tokens")))
+def _ranges(spark: SparkSession, path: str, width: int, block_tokens: int, task_bytes: int) -> DataFrame:
+    """(file, block, n_tokens, is_last): the files cut into ranges of whole identifiers, dealt to tasks by ``task_bytes``.
+
+    Only names and lengths are listed here; each range is read by the task that searches it.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.expr(f"length div {width}").alias("total"))
+    last = F.expr(f"greatest(0, total - 1) div {block_tokens}")
+    blocks = files.select("file", "total", last.alias("last"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
+    size = width * (files.agg(F.sum("total")).first()[0] or 0)
+    return blocks.select("file", "block", F.expr(f"least({block_tokens}, total - block * {block_tokens})").alias("n_tokens"),
+                         (F.col("block") == F.col("last")).alias("is_last")).repartition(rows_per_partition(size, task_bytes), "file", "block")
+
+
+def _open(path: str):
+    """A stored file that can be read from any place, by its name as Spark lists it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    store, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+    return store.open_input_file(unquote(name))
 
 
 def _search(separator: int, width: int, block_tokens: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends, held = [], []
-            for block, value in zip(batch.column("block").to_pylist(), batch.column("tokens")):
-                tokens = np.frombuffer(value.as_buffer(), dtype=_WIDTHS[width], count=len(value.as_buffer()) // width)
-                ends.append(np.flatnonzero(tokens == separator) + block * block_tokens)
-                held.append(len(tokens))
-            offsets = np.append(0, np.cumsum([len(x) for x in ends])).astype(np.int32)
-            values = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("file"), batch.column("block"), pa.array(held, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
-                ["file", "block", "held", "ends"])
+            for i, row in enumerate(batch.to_pylist()):
+                with _open(row["file"]) as file:
+                    file.seek(row["block"] * block_tokens * width)
+                    tokens = np.frombuffer(file.read(row["n_tokens"] * width), dtype=_WIDTHS[width])
+                ends = np.flatnonzero(tokens == separator) + row["block"] * block_tokens
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(i, 1).columns, pa.ListArray.from_arrays(pa.array([0, len(ends)], pa.int32()), pa.array(ends, pa.int64()))],
+                    [*batch.schema.names, "ends"])
     return run
 
 
-def separator_scan(spark: SparkSession, path: str, separator: int, width: int = 2, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def _carried(found: DataFrame) -> DataFrame:
+    """(file, block, docs_before, open_since): how many separators come before a block, and where its first document began.
+
+    A prefix scan in two levels, within runs of ``RUN_BLOCKS`` blocks and over the runs of a file, so that no task needs
+    more than a run's numbers or a file's runs.
+    """
+    marks = found.select("file", "block", F.expr(f"block div {RUN_BLOCKS}").alias("run"), F.size("ends").cast("long").alias("n"),
+                         F.get("ends", F.size("ends") - 1).alias("last"))
+    earlier_runs = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    earlier_blocks = Window.partitionBy("file", "run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (marks.groupBy("file", "run").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+            .select("file", "run", F.sum("n").over(earlier_runs).alias("n_runs"), F.max("last").over(earlier_runs).alias("last_run")))
+    blocks = marks.select("file", "run", "block", F.sum("n").over(earlier_blocks).alias("n_blocks"), F.max("last").over(earlier_blocks).alias("last_block"))
+    return blocks.join(runs, ["file", "run"]).select(
+        "file", "block", (F.coalesce("n_runs", F.lit(0)) + F.coalesce("n_blocks", F.lit(0))).alias("docs_before"),
+        F.coalesce(F.greatest("last_run", "last_block") + 1, F.lit(0)).alias("open_since"))
+
+
+def separator_scan(spark: SparkSession, path: str, separator: int, width: int = 2, block_tokens: int = BLOCK_TOKENS,
+                   task_bytes: int = TASK_BYTES) -> DataFrame:
     """(file, doc, start, n_tokens, ended): every document of the token files under ``path``, in file order.
 
     ``doc`` counts from 0 in each file, ``start`` is the place of its first token, ``n_tokens`` excludes the separator.
     Tokens behind a file's last separator are a document with ``ended`` false. Two separators in a row hold an empty
-    document; an empty file holds none. Bytes that don't fill an identifier at a file's end are ignored. Files are read
-    as binary rows, so one is at most 2 GB; blocks, not files, are what is searched and shuffled.
+    document; an empty file holds none. Bytes that don't fill an identifier at a file's end are ignored. A file may have
+    any length: its ranges are read by as many tasks as ``task_bytes`` asks for, from a local or shared folder or a store
+    that Arrow can open.
     """
-    found = _blocks(spark, path, width, block_tokens).mapInArrow(
-        _search(separator, width, block_tokens), "file string, block long, held long, ends array<long>")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    at = Window.partitionBy("file").orderBy("block")
-    scanned = (found.withColumns({
-        "docs_before": F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)),
-        "open_since": F.coalesce(F.last(F.when(F.size("ends") > 0, F.element_at("ends", -1)), ignorenulls=True).over(before) + 1, F.lit(0)),
-        "is_last": F.lead("block").over(at).isNull()}))
-    total = F.col("block") * block_tokens + F.col("held")
-    last_end = F.when(F.size("ends") > 0, F.element_at("ends", -1) + 1).otherwise(F.col("open_since"))
+    ranges = _ranges(spark, path, width, block_tokens, task_bytes)
+    found = store_once(ranges.mapInArrow(_search(separator, width, block_tokens), "file string, block long, n_tokens long, is_last boolean, ends array<long>"), "separators")
+    scanned = found.join(_carried(found), ["file", "block"])
+    total = F.col("block") * block_tokens + F.col("n_tokens")
+    last_end = F.coalesce(F.get("ends", F.size("ends") - 1) + 1, "open_since")
     rest = F.when(F.col("is_last") & (last_end < total), F.array(total)).otherwise(F.array().cast("array<bigint>"))
-    cuts = scanned.select("file", "docs_before", "open_since", "ends", F.concat("ends", rest).alias("stops"))
-    documents = cuts.select("file", "docs_before", "open_since", F.size("ends").alias("n_ends"), "ends", F.posexplode("stops"))
+    documents = scanned.select("file", "docs_before", "open_since", F.size("ends").alias("n_ends"), "ends", F.posexplode(F.concat("ends", rest)))
     start = F.when(F.col("pos") == 0, F.col("open_since")).otherwise(F.get("ends", F.col("pos") - 1) + 1)
     return documents.select("file", (F.col("docs_before") + F.col("pos")).alias("doc"), start.alias("start"),
                             (F.col("col") - start).alias("n_tokens"), (F.col("pos") < F.col("n_ends")).alias("ended"))
@@ -116,7 +145,7 @@ def document_tokens(docs: DataFrame, vocabulary: str, pattern: str, separator: i
                     block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, n_tokens, doc, start): tokens per document of ``docs``, counted in token files written for them.
 
-    One row per row; a null doc_id stays null. The files lie in the shared folder.
+    One row per row; a null doc_id stays null. An empty table gives an empty one. The files lie in the shared folder.
     """
     spark = docs.sparkSession
     path = new_work_dir(spark, "token-files")

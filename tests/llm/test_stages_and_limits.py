@@ -3,11 +3,12 @@
 import re
 import unicodedata
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from emberlake.llm import chat_format, secret_scan, trie_bpe
+from emberlake.llm import chat_format, secret_scan, token_files, trie_bpe
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -56,3 +57,18 @@ def test_thousands_of_spans_in_one_text(spark):
     at = 1 + n * len(pair)
     wanted = [span for i in range(1, at, len(pair)) for span in (f"ident:{i}:{i + 10}", f"blob:{i + 11}:{i + 47}")]
     assert row[1].spans == ",".join([*wanted, f"assign:{at}:{at + 41}", f"hex:{at + 9}:{at + 41}"])
+
+
+def test_one_token_file_is_searched_by_many_tasks(spark, tmp_path):
+    """More blocks than a run of the prefix scan has, documents within blocks and across many, bytes left over."""
+    tokens = np.random.default_rng(5).integers(1, 400, 600_000).astype("<u2")
+    tokens[::997], tokens[200_000:300_000] = 0, 7
+    (tmp_path / "a long name.bin").write_bytes(tokens.tobytes() + b"x")
+    (tmp_path / "empty.bin").write_bytes(b"")
+    ranges = token_files._ranges(spark, str(tmp_path), 2, 100, 1 << 16)
+    assert ranges.count() == 6_000 > token_files.RUN_BLOCKS and ranges.rdd.getNumPartitions() == 19
+    found = token_files.separator_scan(spark, str(tmp_path), 0, 2, block_tokens=100, task_bytes=1 << 16).orderBy("doc").collect()
+    ends = np.flatnonzero(tokens == 0)
+    starts, stops = np.append(0, ends + 1), np.append(ends, len(tokens))
+    assert [(r.doc, r.start, r.n_tokens, r.ended) for r in found] == [
+        (i, a, b - a, i < len(ends)) for i, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())) if i < len(ends) or a < b]
