@@ -6,12 +6,13 @@ inequality says nothing. So the space is cut in two ways, both exact:
 * *Anchors.* All sets share one order of shingles: by the number of sets that hold them, then by hash, with shingles in
   a ``common_share`` of all sets last. Linked sets share a shingle among each one's first ``n - ceil(0.75 n) + 1``. The
   sets with the same such shingle make a region; a set whose first shingles are all its own has no link.
-* *Pivots.* Regions with the same pivot (the member that comes first by hash) become one cell. A cell of bounded size is
-  joined in one task: pivot after pivot meets those members whose distances to earlier pivots differ from its own by no
-  more than 0.25. A larger cell is first split over the cluster: each set belongs to the region of its nearest pivot and
-  is copied to that of pivot j if d(set, j) <= d(set, nearest) + 2 * 0.25, so linked sets meet in the region of one of
-  them; the regions are cells again, without the pivots, which have met everyone. Sets known to be connected need no
-  further comparison, so thousands of near copies cost one comparison each.
+* *Pivots.* Regions with the same pivot (the member that comes first by hash) become one cell. Every cell of more than a
+  few hundred sets is divided in the same way, a large one over the cluster, one of bounded size within a task: each set
+  belongs to the Voronoi region of its nearest pivot, or to the outside if all are farther than ``BALL``, and is copied
+  to any other region where a set within 0.25 of it may be at home, by the triangle inequality. So linked sets meet in
+  the home of either. The regions are divided again, without the pivots, which have met everyone, while that divides them.
+  What is left meets by its rarest shingles within the region. Sets known to be connected need no further comparison,
+  so thousands of near copies cost one comparison each.
 
 Counting is exact and covers every set. Its hot shingles are found first (their number is at most the mean set size over
 ``common_share``, whatever the input size) and need no gathering; all others are counted in buckets whose number follows
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,9 @@ from emberlake.llm.shingles import prefix_length, set_digest, shingle_sets
 @dataclass(frozen=True)
 class JoinSettings:
     """``percent``: least Jaccard likeness of a link. ``common_share``: share of all texts that makes a shingle hot.
-    ``bucket_shingles``: shingles counted in one task. ``leaf_shingles``: size of a cell that one task joins.
-    ``pivots``: per larger cell and round. ``rounds``: after so many, what is left of such a cell is compared pair by
-    pair over the cluster, so that the result is exact in any case."""
+    ``bucket_shingles``: shingles counted in one task. ``leaf_shingles``: size of a cell that one task divides and joins.
+    ``pivots``: per larger cell and round. ``rounds``: after so many, members of such a cell that share one of their
+    rarest shingles within it are compared over the cluster, so that the result is exact in any case."""
 
     percent: int = 75
     common_share: float = 0.001
@@ -49,6 +51,10 @@ class JoinSettings:
     rounds: int = 6
 
 
+#: Sets farther than this from all pivots are at home outside of their regions.
+BALL = 0.5
+
+
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
@@ -185,48 +191,142 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                       .mapInArrow(_likeness, "a long, b long, shared long, united long"), "compared")
 
 
-_LEAF_PIVOTS = 8
+REGION_SETS = 512
+REGION_PIVOTS = 32
+
+
+def _regions(far: np.ndarray, home: np.ndarray, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Who belongs to each region and who of them is at home there, by the distances to the pivots (a column each).
+
+    A set's home is its nearest pivot's region or, beyond ``BALL`` from all, the outside. Two sets within reach of each
+    other are both in the home of either: their distances to a pivot differ by no more than the reach.
+    """
+    nearest, least = far.argmin(axis=1), far.min(axis=1)
+    for j in range(far.shape[1]):
+        inside = far[:, j] <= np.minimum(least + 2 * reach, BALL + reach)
+        yield inside, home & (nearest == j) & (least <= BALL)
+    yield least > BALL - reach, home & (least > BALL)
+
 
+def _join_cell(percent: int) -> Callable:
+    """Links that connect, within one cell, exactly what all its links connect.
 
-def _leaf(percent: int) -> Callable:
-    """Links that connect, within one cell, exactly what all its links connect."""
+    Regions of more than ``REGION_SETS`` sets are divided by pivots and windows, and so on within each, as long as that
+    divides them: pairs within the parts must be a fifth fewer, and copies at most half as many as sets. What is left meets by the rarest shingles in the region's own order, so that texts which only share a passage are not compared pair by pair.
+    """
     reach = (100 - percent) / 100 + 1e-9
 
     def run(cell: pa.Table) -> pa.Table:
         ids = cell.column("set_id").to_numpy()
         sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in cell.column("shingles")]
         sizes = np.array([len(x) for x in sets])
-        starts = np.append(0, np.cumsum(sizes)[:-1])
-        values = np.concatenate(sets)
-        _, label = np.unique(cell.column("label").to_numpy(), return_inverse=True)
-        waiting = np.ones(len(ids), dtype=bool)
-        earlier: list[np.ndarray] = []
-        a, b = [], []
-        while len(counts := np.bincount(label[waiting])) and (counts > 0).sum() > 1:
-            rarest = np.flatnonzero(counts)[np.argmin(counts[counts > 0])]
-            pivot = int(np.flatnonzero(waiting & (label == rarest))[0])
-            waiting[pivot] = False
-            met = waiting & (label != label[pivot])
-            met &= 100 * np.minimum(sizes, sizes[pivot]) >= percent * np.maximum(sizes, sizes[pivot])
-            for far in earlier:
-                met &= ~(np.abs(far - far[pivot]) > reach)
-            who = np.flatnonzero(met)
-            if 8 * len(who) > len(ids):
-                at = np.minimum(np.searchsorted(sets[pivot], values), sizes[pivot] - 1)
-                shared = np.add.reduceat((sets[pivot][at] == values).astype(np.int64), starts)
-                united = sizes + sizes[pivot] - shared
-                earlier = [*earlier[1 - _LEAF_PIVOTS:], 1 - shared / united]
-                linked = who[(100 * shared >= percent * united)[who]]
-            else:
-                shared = np.array([len(np.intersect1d(sets[i], sets[pivot], assume_unique=True)) for i in who], dtype=np.int64)
-                linked = who[100 * shared >= percent * (sizes[who] + sizes[pivot] - shared)]
-            a += [ids[pivot]] * len(linked)
-            b += ids[linked].tolist()
-            label[np.isin(label, label[linked])] = label[pivot]
+        _, first, label = np.unique(cell.column("label").to_numpy(), return_index=True, return_inverse=True)
+        parent = first[label]
+        links: list[tuple[int, int]] = []
+
+        def roots(who: np.ndarray) -> np.ndarray:
+            at = parent[who]
+            while (parent[at] != at).any():
+                at = parent[at]
+            parent[who] = at
+            return at
+
+        def meet(pivot: int, who: np.ndarray) -> np.ndarray:
+            values = np.concatenate([sets[i] for i in who])
+            at = np.minimum(np.searchsorted(sets[pivot], values), sizes[pivot] - 1)
+            shared = np.add.reduceat((sets[pivot][at] == values).astype(np.int64), np.append(0, np.cumsum(sizes[who])[:-1]))
+            united = sizes[who] + sizes[pivot] - shared
+            linked = who[100 * shared >= percent * united]
+            mine = roots(np.array([pivot]))[0]
+            theirs, which = np.unique(roots(linked), return_index=True)
+            links.extend((ids[pivot], ids[i]) for i in linked[which[theirs != mine]])
+            parent[theirs] = mine
+            return 1 - shared / united
+
+        def meet_by_shingles(who: np.ndarray, home: np.ndarray) -> None:
+            owner = np.repeat(np.arange(len(who)), sizes[who])
+            _, shingle, holders = np.unique(np.concatenate([sets[i] for i in who]), return_inverse=True, return_counts=True)
+            order = np.lexsort((shingle, holders[shingle], owner))
+            rank = np.arange(len(order)) - np.append(0, np.cumsum(sizes[who])[:-1])[owner]
+            need = np.array([prefix_length(int(n), percent) for n in sizes[who]])
+            kept = order[rank < need[owner]]
+            shingle, owner = shingle[kept], owner[kept]
+            by = np.argsort(shingle, kind="stable")
+            cuts = np.searchsorted(shingle[by], np.arange(len(holders) + 1))
+            held, held_from = owner[by], np.append(0, np.cumsum(need)[:-1])
+            done, known = np.zeros(len(who), dtype=bool), None
+            for i in range(len(who)):
+                if i == REGION_PIVOTS:  # from here on the most frequent group need not look for others, who look for it
+                    known = int(np.bincount(roots(who)).argmax())
+                mine = roots(who[i:i + 1])[0]
+                if known is not None and mine == roots(np.array([known]))[0]:
+                    continue
+                done[i] = True
+                lists = [held[cuts[x]:cuts[x + 1]] for x in shingle[held_from[i]:held_from[i] + need[i]] if cuts[x + 1] - cuts[x] > 1]
+                if not lists:
+                    continue
+                other = np.unique(np.concatenate(lists))
+                other = other[~done[other] & (home[i] | home[other])]
+                size, sized = sizes[who[i]], sizes[who[other]]
+                other = other[(roots(who[other]) != mine) & (100 * np.minimum(sized, size) >= percent * np.maximum(sized, size))]
+                if len(other):
+                    meet(int(who[i]), who[other])
+
+        todo = [(np.arange(len(ids)), cell.column("home").to_numpy().astype(bool))]
+        while todo:
+            who, home = todo.pop()
+            if not home.any() or len(np.unique(roots(who))) == 1:
+                continue
+            if len(who) > REGION_SETS:
+                pivots, columns, least = [], [], np.ones(len(who))
+                for p in np.argsort(ids[who], kind="stable"):
+                    if not columns or least[p] > BALL:  # no pivot in another one's ball
+                        pivots.append(p)
+                        columns.append(meet(int(who[p]), who))
+                        least = np.minimum(least, columns[-1])
+                    if len(pivots) == min(REGION_PIVOTS, isqrt(len(who))):
+                        break
+                far = np.stack(columns, axis=1)
+                rest = np.ones(len(who), dtype=bool)
+                rest[pivots] = False  # they have met everyone
+                who, home, far = who[rest], home[rest], far[rest]
+                parts = list(_regions(far, home, reach))
+                held = [int(inside.sum()) for inside, _ in parts]
+                if sum(held) <= 1.5 * len(who) and sum(x * x for x in held) <= 0.8 * len(who) ** 2:
+                    todo += [(who[inside], at_home[inside]) for inside, at_home in parts]
+                    continue
+            if len(who):
+                meet_by_shingles(who, home)
+        a, b = zip(*links) if links else ((), ())
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each member."""
+    for batch in batches:
+        for i, blob in enumerate(batch.column("shingles")):
+            values = np.frombuffer(blob.as_buffer(), dtype=np.int64)
+            row = batch.slice(i, 1).drop_columns(["shingles"]).take(pa.array(np.zeros(len(values), dtype=np.int64)))
+            yield row.append_column("shingle", pa.array(values, pa.int64()))
+
+
+def _by_rarest(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of unlike labels and like sizes in one cell that share one of each one's rarest shingles there."""
+    each = store_once(large.select("cell", "set_id", "label", "home", "n_shingles").join(sets, "set_id")
+                      .select("cell", "set_id", "label", "home", "n_shingles", "shingles")
+                      .mapInArrow(_one_by_one, "cell long, set_id long, label long, home boolean, n_shingles long, shingle long"), "members")
+    holders = each.groupBy("cell", "shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    alone = each.join(holders, ["cell", "shingle"], "left").fillna(1, ["holders"])
+    first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    kept = (alone.withColumn("rank", F.row_number().over(Window.partitionBy("cell", "set_id").orderBy("holders", "shingle")))
+            .where((F.col("rank") <= first) & (F.col("holders") > 1)))
+    return kept.alias("l").join(kept.alias("r"), F.expr(
+        "l.cell = r.cell AND l.shingle = r.shingle AND l.set_id < r.set_id AND l.label <> r.label AND (l.home OR r.home) "
+        f"AND 100 * least(l.n_shingles, r.n_shingles) >= {percent} * greatest(l.n_shingles, r.n_shingles)")).select(
+        F.col("l.set_id").alias("a"), F.col("r.set_id").alias("b"))
+
+
 def _open_cells(members: DataFrame, all_home: bool = False) -> DataFrame:
     """Cells that still hold several components, one of each membership; ``size`` is a cell's sum of set sizes.
 
@@ -345,9 +445,7 @@ def _join_cells(members: DataFrame, sets: DataFrame, settings: JoinSettings) ->
             pairs = met.where("set_id <> pivot").select(
                 F.least("set_id", "pivot").alias("a"), F.greatest("set_id", "pivot").alias("b"))
         else:
-            pairs = large.alias("l").join(large.alias("r"), F.expr(
-                "l.cell = r.cell AND l.set_id < r.set_id AND l.label <> r.label AND (l.home OR r.home)")).select(
-                F.col("l.set_id").alias("a"), F.col("r.set_id").alias("b"))
+            pairs = _by_rarest(large, sets, settings.percent)
         compared = _compare(pairs, sets)
         links.append(compared.where(F.col("shared") * 100 >= F.col("united") * settings.percent).select("a", "b"))
         if done == settings.rounds:
@@ -358,14 +456,19 @@ def _join_cells(members: DataFrame, sets: DataFrame, settings: JoinSettings) ->
                .withColumns({"a": F.least("set_id", "pivot"), "b": F.greatest("set_id", "pivot")})
                .join(compared, ["a", "b"]).withColumn("far", 1 - F.col("shared") / F.col("united")))
         nearest = far.groupBy("cell", "set_id").agg(F.min(F.struct("far", "pivot")).alias("near"))
-        cells = (far.join(nearest, ["cell", "set_id"]).where(F.col("far") <= F.col("near.far") + 2 * reach)
-                 .select(F.xxhash64("cell", "pivot").alias("cell"), "set_id", "n_shingles",
-                         (F.col("home") & (F.col("pivot") == F.col("near.pivot"))).alias("home")))
+        least = F.col("near.far")
+        placed = far.join(nearest, ["cell", "set_id"])
+        balls = placed.where(F.col("far") <= F.least(least + 2 * reach, F.lit(BALL + reach))).select(
+            F.xxhash64("cell", "pivot").alias("cell"), "set_id", "n_shingles",
+            (F.col("home") & (F.col("pivot") == F.col("near.pivot")) & (least <= BALL)).alias("home"))
+        outside = placed.where((F.col("pivot") == F.col("near.pivot")) & (least > BALL - reach)).select(
+            F.xxhash64("cell", F.lit("outside")).alias("cell"), "set_id", "n_shingles", (F.col("home") & (least > BALL)).alias("home"))
+        cells = balls.unionByName(outside)
         members = store_once(_open_cells(
             cells.join(labels, cells["set_id"] == labels["node"], "left")
             .select("cell", "set_id", "n_shingles", F.coalesce("label", "set_id").alias("label"), "home")), "cells")
         leaves.append(members.where(F.col("size") <= settings.leaf_shingles))
         large = members.where(F.col("size") > settings.leaf_shingles)
-    within = (reduce(DataFrame.unionByName, leaves).select("cell", "set_id", "label").join(sets, "set_id")
-              .groupBy("cell").applyInArrow(_leaf(settings.percent), "a long, b long"))
+    within = (reduce(DataFrame.unionByName, leaves).select("cell", "set_id", "label", "home").join(sets, "set_id")
+              .groupBy("cell").applyInArrow(_join_cell(settings.percent), "a long, b long"))
     return reduce(DataFrame.unionByName, links, within)

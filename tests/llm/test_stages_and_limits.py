@@ -5,10 +5,12 @@ import unicodedata
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from emberlake.llm import chat_format, secret_scan, token_files, trie_bpe
+from emberlake.llm import chat_format, jaccard_join, secret_scan, token_files, trie_bpe
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -72,3 +74,48 @@ def test_one_token_file_is_searched_by_many_tasks(spark, tmp_path):
     starts, stops = np.append(0, ends + 1), np.append(ends, len(tokens))
     assert [(r.doc, r.start, r.n_tokens, r.ended) for r in found] == [
         (i, a, b - a, i < len(ends)) for i, (a, b) in enumerate(zip(starts.tolist(), stops.tolist())) if i < len(ends) or a < b]
+
+
+def clustered(groups, each, seed):
+    """Near copies of ``groups`` texts, half of which share a passage, at likenesses around the least one."""
+    rng, sets = np.random.default_rng(seed), []
+    for g in range(groups):
+        base = [g * 1000 + k for k in range(60)] + ([900_000 + k for k in range(25)] if g % 2 else [])
+        for _ in range(each):
+            gone = rng.permutation(len(base))[:rng.integers(0, 11)]
+            sets.append(np.unique([base[k] if k not in gone else rng.integers(1_000_000, 1 << 40) for k in range(len(base))]).astype(np.uint64))
+    return [sets[i] for i in rng.permutation(len(sets))]
+
+
+def linked(a, b):
+    shared = len(np.intersect1d(a, b))
+    return 100 * shared >= 75 * (len(a) + len(b) - shared)
+
+
+def test_linked_sets_meet_in_the_home_of_either():
+    sets = clustered(8, 12, 1)
+    far = np.array([[1 - len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in sets[:5]] for x in sets])
+    regions = list(jaccard_join._regions(far, np.ones(len(sets), dtype=bool), 0.25 + 1e-9))
+    assert (sum(home.astype(int) for _, home in regions) == 1).all() and all((inside | ~home).all() for inside, home in regions)
+    assert sum(inside.sum() for inside, _ in regions) < 2 * len(sets)
+    assert all(inside[j] for inside, home in regions for i in np.flatnonzero(home) for j in range(len(sets)) if linked(sets[i], sets[j]))
+
+
+@pytest.mark.parametrize("largest", [24, 60, 100_000])
+def test_a_cell_is_divided_and_loses_no_link(monkeypatch, largest):
+    sets, divided = clustered(40, 12, 2), []
+    monkeypatch.setattr(jaccard_join, "REGION_SETS", largest)
+    regions = jaccard_join._regions
+    monkeypatch.setattr(jaccard_join, "_regions", lambda far, home, reach: divided.append(len(home)) or regions(far, home, reach))
+    n = len(sets)
+    cell = pa.table({"set_id": pa.array(range(n), pa.int64()), "label": pa.array(range(n), pa.int64()),
+                     "home": pa.array([True] * n), "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
+    found = jaccard_join._join_cell(75)(cell)
+    label, wanted = list(range(n)), list(range(n))
+    for names, pairs in ((label, zip(*[found.column(c).to_pylist() for c in "ab"])),
+                         (wanted, ((i, j) for i in range(n) for j in range(i) if linked(sets[i], sets[j])))):
+        for a, b in pairs:
+            assert linked(sets[a], sets[b])
+            names[:] = [min(names[a], names[b]) if x in (names[a], names[b]) else x for x in names]
+    assert label == wanted and 40 <= len(set(label)) < n
+    assert len(divided) > 1 if largest < 100 else not divided
