@@ -191,7 +191,7 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                       .mapInArrow(_likeness, "a long, b long, shared long, united long"), "compared")
 
 
-REGION_SETS = 512
+REGION_SETS = 128
 REGION_PIVOTS = 32
 
 
