@@ -127,6 +127,32 @@ def daily_fire_kpis(events: DataFrame) -> DataFrame:
     return daily.orderBy("event_date")
 
 
+def daily_fire_parts() -> tuple[dict[str, Column], dict[str, Column], dict[str, str]]:
+    """Keys, parts and how parts merge, for :func:`daily_fire_kpis` carried on batch by batch."""
+    parts = {"fire_count": F.count(F.lit(1)), "frp_count": F.count("frp"), "frp_sum": F.sum("frp"), "max_frp": F.max("frp"),
+             "night_fires": F.count_if(F.col("daynight") == "N")}
+    return {"event_date": _event_date()}, parts, {p: "max" if p == "max_frp" else "sum" for p in parts}
+
+
+def daily_fire_figures(parts: DataFrame) -> DataFrame:
+    """The columns of :func:`daily_fire_kpis` from merged parts."""
+    return parts.select(
+        "event_date", "fire_count", _numeric(F.try_divide("frp_sum", "frp_count"), 2).alias("avg_frp"),
+        _numeric(F.col("max_frp"), 2).alias("max_frp"), "night_fires",
+    ).orderBy("event_date")
+
+
+def anomaly_parts() -> tuple[dict[str, Column], dict[str, Column], dict[str, str]]:
+    """The same for :func:`anomaly_summary`."""
+    parts = {"anomaly_count": F.count_if(F.col("is_anomaly") == 1), "score_count": F.count("anomaly_score"), "score_sum": F.sum("anomaly_score")}
+    return {"event_date": _event_date()}, parts, {p: "sum" for p in parts}
+
+
+def anomaly_figures(parts: DataFrame) -> DataFrame:
+    score = _numeric(F.try_divide("score_sum", "score_count"), 3)
+    return parts.select("event_date", "anomaly_count", score.alias("avg_anomaly_score")).orderBy(F.col("event_date").desc())
+
+
 def fire_kpis(events: DataFrame) -> DataFrame:
     return events.agg(
         F.count(F.lit(1)).alias("total_fires"),

@@ -202,6 +202,14 @@ STAGES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN l_partkey % 50 = 1 THEN NULL ELSE l_quantity*l_extendedprice/1e5 END AS frp,
                TIMESTAMP '2024-01-01' + to_minutes(CAST((l_partkey*7919 + l_orderkey*13) % 43200 AS BIGINT)) AS event_timestamp
         FROM lineitem"""),
+    "linked_full": ((), """
+        SELECT (l_suppkey*1291 % 1900)/1e1 - 9e1 AS latitude,
+               ((l_suppkey*2741 + l_linenumber*13) % 3690)/1e1 - 1.8e2 AS longitude,
+               CASE WHEN l_partkey % 50 = 1 THEN NULL ELSE l_quantity*l_extendedprice/1e5 END AS frp,
+               TIMESTAMP '2024-01-01' + to_minutes(CAST((l_partkey*7919 + l_orderkey*13) % 43200 AS BIGINT)) AS event_timestamp,
+               2.2e2 + l_quantity AS bright_t31, CASE WHEN l_linestatus = 'O' THEN 'D' ELSE 'N' END AS daynight
+        FROM lineitem WHERE (l_suppkey*1291 % 1900)/1e1 - 9e1 BETWEEN -90 AND 90
+          AND ((l_suppkey*2741 + l_linenumber*13) % 3690)/1e1 - 1.8e2 BETWEEN -180 AND 180"""),
     "readings": (("env_rows",), """
         SELECT event_timestamp AS reading_time, latitude AS reading_latitude, longitude AS reading_longitude,
                temperature, humidity, wind_speed, wind_direction, rainfall, smoke, air_quality_index, source FROM env_rows"""),
@@ -553,4 +561,18 @@ def _statement(stages: str, final: str) -> str:
     return (f"WITH {', '.join(parts)} " if parts else "") + final
 
 
+# The same answers, given by a store by month or carried on by a stream.
+_FINAL |= {f"board_{name}": _FINAL[name] for name in ("recent_events", "map_points")} | {
+    "board_date_bounds": _FINAL["event_date_bounds"],
+    "board_busiest_day": ("events_served", """
+        SELECT event_timestamp, latitude, longitude, frp, brightness, confidence, daynight, satellite FROM events_served
+        WHERE CAST(event_timestamp AS DATE) = (
+          SELECT CAST(event_timestamp AS DATE) FROM events_served GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)"""),
+    "stream_daily_kpis": ("linked_full", _FINAL["daily_fire_kpis"][1].replace("events_served", "linked_full")),
+    "stream_anomaly_days": ("live_scored", _FINAL["anomaly_summary"][1].replace("FROM scored", "FROM live_scored")),
+    "stream_compacted": ("linked_full", """
+        SELECT event_timestamp, latitude, longitude, frp, bright_t31, daynight, CAST(year(event_timestamp) AS INTEGER) AS year,
+               CAST(month(event_timestamp) AS INTEGER) AS month FROM linked_full"""),
+}
+
 ORACLE_SQL: dict[str, str] = {name: _statement(stages, final) for name, (stages, final) in _FINAL.items()}

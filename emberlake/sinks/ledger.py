@@ -65,15 +65,32 @@ def stage(rows: DataFrame, base: str, batch_id: int) -> str:
     return path
 
 
-def commit(spark: SparkSession, staged: str, base: str, batch_id: int) -> bool:
-    """Makes a staged batch visible; False if another attempt was faster, whose rows stay."""
-    system, target, path = _file_system(spark, batch_folder(base, batch_id))
+def commit_folder(spark: SparkSession, staged: str, folder: str) -> bool:
+    """Makes a staged folder visible under its name; False if another attempt was faster, whose rows stay."""
+    system, target, path = _file_system(spark, folder)
     if system.exists(target) or not system.rename(path(staged), target):
         system.delete(path(staged), True)
         return False
     return True
 
 
+def commit(spark: SparkSession, staged: str, base: str, batch_id: int) -> bool:
+    return commit_folder(spark, staged, batch_folder(base, batch_id))
+
+
+def committed_folders(spark: SparkSession, base: str) -> list[str]:
+    """Names of the folders in ``base`` that readers see."""
+    system, folder, _ = _file_system(spark, base)
+    if not system.exists(folder):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(folder) if f.isDirectory() and f.getPath().getName()[0] not in "_."]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    system, folder, _ = _file_system(spark, path)
+    system.delete(folder, True)
+
+
 def append_once(base: str, keys: list[str], shape: Callable[[DataFrame], DataFrame] = lambda df: df,
                 time: str = "event_timestamp") -> Callable[[DataFrame, int], None]:
     """A batch writer for a folder table: one row a key over all batches, whatever is replayed and wherever it failed."""
