@@ -24,7 +24,7 @@ from emberlake.operators.features import batch_features
 from emberlake.operators.validation import is_valid
 from emberlake.schemas import CANONICAL_COLUMNS, NATURAL_KEY
 from emberlake.session import store_once
-from emberlake.sinks.tables import staging_folder, switch_years, write_json, write_raw_sample, write_years, write_years_as_is
+from emberlake.sinks.tables import RAW_SAMPLE_ROWS, staging_folder, switch_years, write_json, write_raw_sample, write_years, write_years_as_is
 from emberlake.sources.files import YEAR_FOLDER, file_metadata, read_year, read_years
 
 
@@ -138,13 +138,13 @@ def process(spark: SparkSession, raw: DataFrame, years: list[int], layout: Layou
 
 
 def run(spark: SparkSession, data_dir: str, years: list[int], layout: Layout,
-        sample_limit: int | None = None, nrt=None, folder: str = YEAR_FOLDER) -> DataFrame:
+        sample_limit: int | None = None, nrt=None, folder: str = YEAR_FOLDER, raw_sample_rows: int = RAW_SAMPLE_ROWS) -> DataFrame:
     """The whole history job. Returns the stored per-year report."""
     started = time.monotonic()
     years = sorted(years)
     if layout.raw_sample:
         for year in years:
-            write_raw_sample(read_year(spark, data_dir, year, folder=folder), f"{layout.raw_sample}/year={year}")
+            write_raw_sample(read_year(spark, data_dir, year, folder=folder), f"{layout.raw_sample}/year={year}", raw_sample_rows)
     figures = store_once(process(spark, read_years(spark, data_dir, years, sample_limit, folder), years, layout, nrt), "history-figures")
     files = file_metadata(spark, data_dir, years, folder)
     documents = report_documents(figures, files, layout, time.monotonic() - started)

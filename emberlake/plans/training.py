@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -94,11 +94,12 @@ def row_counts(split: Split) -> dict[str, int]:
 
 def train_risk(spark: SparkSession, split: Split, settings: TreeSettings = TreeSettings(),
                models: tuple[str, ...] = (FOREST, RISK_BOOSTED), relative_error: float = 0.001,
+               quantiles: tuple[float, float] = (labels.LOW_QUANTILE, labels.HIGH_QUANTILE),
                ) -> tuple[Trained, dict[str, Judgement]]:
     """Labels from training quantiles, then the chosen classifiers, judged on validation and test rows."""
     ensure_checkpoints(spark)
     ready = prepare(split)
-    low, high = labels.risk_thresholds(ready["train"], relative_error=relative_error)
+    low, high = labels.risk_thresholds(ready["train"], *quantiles, relative_error=relative_error)
     labelled = {name: labels.risk_label(df, low, high) for name, df in ready.items()}
     features = learning.fit_risk_features(labelled["train"])
     assembled = _assembled(features, labelled, "label", "risk_level")
@@ -172,13 +173,14 @@ def report(trained: Trained, judged: dict[str, Judgement], years: Years, best: s
 
 def run(spark: SparkSession, features: DataFrame, models_dir: str, reports_dir: str,
         settings: TreeSettings = TreeSettings(), train: list[int] | None = None,
-        validation: list[int] | None = None, test: list[int] | None = None) -> dict[str, str]:
+        validation: list[int] | None = None, test: list[int] | None = None,
+        quantiles: tuple[float, float] = (labels.LOW_QUANTILE, labels.HIGH_QUANTILE)) -> dict[str, str]:
     """Both trainings on a feature table; returns the best model of each kind."""
     years = {"train": train or labels.TRAIN_YEARS, "validation": validation or labels.VALIDATION_YEARS,
              "test": test or labels.TEST_YEARS}
     split = labels.time_split(features, **years)
     jobs = {
-        "risk_classifier": (train_risk, learning.best_classifier, RISK_MODELS),
+        "risk_classifier": (partial(train_risk, quantiles=quantiles), learning.best_classifier, RISK_MODELS),
         "fire_size_regressor": (train_size, learning.best_regressor, SIZE_MODELS),
     }
     best = {}

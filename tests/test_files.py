@@ -74,7 +74,7 @@ def test_history_run(spark, data_dir, tmp_path):
     early = reports[2024]
     assert (early.input_rows, early.invalid_rows, early.duplicate_rows, early.output_curated_rows) == (5, 1, 1, 3)
     assert early.quality_status == "PASSED_WITH_WARNINGS" and reports[2026].quality_status == "PASSED"
-    assert early.spatial_bounds.max_latitude == 34.0522 and early.temporal_bounds.min_acq_date == "2024-07-15"
+    assert early.spatial_bounds.max_latitude == -21.375 and early.temporal_bounds.min_acq_date == "2024-09-22"
     assert [f.file_name for f in reports[2026].input_files] == ["fire_NRT_2.csv", "fire_archive_2.csv"]
 
     overall = spark.read.json(f"{layout.reports}/overall").first()
@@ -110,7 +110,7 @@ def test_profile_run(spark, data_dir, tmp_path):
     yearly = {r.year: r for r in spark.read.json(f"{tmp_path}/p/yearly").collect()}
     assert yearly[2026].null_counts.type == 2 and yearly[2026].null_counts.brightness == 1
     assert yearly[2024].validation.invalid_latitude_count == 1
-    assert yearly[2024].numeric_statistics.frp.asDict() == {"min": 0.5, "max": 18.4, "avg": 9.38}
+    assert yearly[2024].numeric_statistics.frp.asDict() == {"min": 0.5, "max": 27.5, "avg": 11.2}
     assert yearly[2026].distinct_values.versions == ["2", "2.0NRT"] and yearly[2024].distinct_values.fire_types == [0]
     assert yearly[2024].spatial_bounds.max_latitude == 95.0 and len(yearly[2024].columns) == 15
     assert len(yearly[2026].file_metadata) == 2
