@@ -3,6 +3,7 @@
 import datetime
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,21 @@ def test_nearest_reading_without_a_side_or_a_key(spark):
     assert "NestedLoop" not in plan_of(nearest_reading(fires, none)) and "Cartesian" not in plan_of(nearest_reading(fires, none))
 
 
+def test_nearest_reading_copies_no_detection(spark):
+    """Copies in the rows of an explode that reads a detection's time or cell would grow the larger side."""
+    fires, readings = crowd(5, 20, 20)
+    plan = plan_of(nearest_reading(spark.createDataFrame(fires, FIRE), spark.createDataFrame(readings, READING)))
+    copying = [line for line in plan.splitlines() if "Generate" in line]
+    assert copying and not any(re.search(r"\bat#", line) or re.search(r"[\[ ]latitude#", line) for line in copying)
+
+
+def test_nearest_reading_with_repeated_detections(spark):
+    fires, readings = crowd(6, 12, 40)
+    twice = nearest_reading(spark.createDataFrame(fires * 3, FIRE), spark.createDataFrame(readings + readings[:9], READING))
+    once = nearest_reading(spark.createDataFrame(fires, FIRE), spark.createDataFrame(readings, READING))
+    assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect() * 3))
+
+
 def test_recurrence_counts_earlier_days_and_opens_their_months_only(spark, tmp_path):
     stored = [(at(-86400 * d), 1.01, 2.02, 1.0) for d in (1, 1, 29, 30, 31, 400)] + [(at(0), 1.01, 2.02, 1.0), (at(-86400), 1.2, 2.02, 1.0)]
     write_months(spark.createDataFrame(stored, FIRE), str(tmp_path / "store"))
