@@ -98,6 +98,14 @@ def test_nearest_reading_with_repeated_detections(spark):
     assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect() * 3))
 
 
+def test_recurrence_pairs_no_days_of_a_cell(spark):
+    """One join only, that of the detections with their own cell and day."""
+    fires = [(at(86400 * d), 1.01, 2.02, 1.0) for d in range(40)] * 2
+    found = linked.recurrence(spark.createDataFrame(fires, FIRE), spark.createDataFrame(fires, FIRE))
+    assert sum("Join" in line for line in plan_of(found).splitlines()) == 1 and "Window" in plan_of(found)
+    assert sorted(r.earlier_fires for r in found.collect()) == sorted(2 * min(d, 30) for d in range(40) for _ in range(2))
+
+
 def test_recurrence_counts_earlier_days_and_opens_their_months_only(spark, tmp_path):
     stored = [(at(-86400 * d), 1.01, 2.02, 1.0) for d in (1, 1, 29, 30, 31, 400)] + [(at(0), 1.01, 2.02, 1.0), (at(-86400), 1.2, 2.02, 1.0)]
     write_months(spark.createDataFrame(stored, FIRE), str(tmp_path / "store"))
