@@ -17,7 +17,7 @@ from emberlake.sinks.compaction import Output, compact, drop_superseded, read_co
 from emberlake.sinks.rollup import Rollup, carry_on, fold, read_rollup
 from emberlake.sinks.streams import batch_sink, parquet_sink
 from emberlake.sinks.tables import write_months
-from emberlake.sources.streams import Topic, read_messages, read_messages_once
+from emberlake.sources.streams import Topic, read_messages, read_messages_once, send
 from emberlake.streaming import flows
 from emberlake.streaming.run import drain
 
@@ -29,7 +29,7 @@ def stream_daily_kpis(spark, sf_dir):
     write = carry_on(f"{base}/figures", rollup, flows.fire_rows)
     slices = time_slices(linked_fire_feed(spark, sf_dir), parts=SLICES)
     for i, part in enumerate(slices):
-        part.write.mode("append").text(f"{base}/fire")
+        send(part, Topic(f"{base}/fire", format="text"), "append")
         drain(batch_sink(read_messages(spark, Topic(f"{base}/fire", format="text")), write, f"{base}/checkpoint"))
         write(part, i)
         if i == 1:
@@ -59,7 +59,7 @@ def stream_compacted(spark, sf_dir):
     late, *slices = time_slices(linked_fire_feed(spark, sf_dir), parts=SLICES + 1)
     output = None
     for part in (slices[0], slices[1], late, slices[2]):
-        part.write.mode("append").text(topic.location)
+        send(part, topic, "append")
         output = output or Output(f"{base}/out", f"{base}/compacted", flows.fire_rows(read_messages_once(spark, topic)).schema)
         drain(parquet_sink(flows.fire_rows(read_messages(spark, topic)), output.stream, f"{base}/checkpoint"))
         compact(spark, output, date(2100, 1, 1))

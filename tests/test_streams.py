@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from emberlake.operators import alerts, anomaly, features, serving
 from emberlake.plans import live
-from emberlake.plans.registry import fire_messages, rule_risk
+from emberlake.plans.registry import fire_messages, publish, rule_risk
 from emberlake.schemas import ACTION_EVENT, ENVIRONMENT, FIRE_EVENT, RISK_COLUMNS
 from emberlake.sinks import streams as sinks
 from emberlake.sinks.jdbc import Store
+from emberlake.sources import streams as source_streams
 from emberlake.sources.streams import Topic, read_messages, read_messages_once
 from emberlake.sources.tables import table
 from emberlake.streaming import flows, run
@@ -184,3 +185,16 @@ def test_same_steps_on_messages_and_rows(spark, sf_dir):
     scored = anomaly.score(features.stamp_event(direct), MODEL)
     assert rows(flows.anomaly_rows(fire_messages(lineitem), MODEL)) == rows(anomaly.alerts(scored))
     assert scored.where(F.col("is_anomaly") == 1).count() > 0
+
+
+def test_topic_folders_are_compressed_in_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_streams, "FILE_MESSAGES", 10)
+    messages = spark.range(35).selectExpr("concat('message ', id) AS value").coalesce(1)
+    published = publish(messages, str(tmp_path / "published"))
+    source_streams.send(messages, published, "append")
+    sinks.folder_per_batch(str(tmp_path / "batches"), format="text", **published.file_options())(messages, 0)
+    for folder, copies in ((tmp_path / "published", 2), (tmp_path / "batches" / "batch_id=0", 1)):
+        files = list(folder.glob("part-*"))
+        assert len(files) == 4 * copies and all(f.name.endswith(".txt.gz") for f in files)
+        read = source_streams.read_messages_once(spark, Topic(str(folder), format="text"))
+        assert sorted(r.value for r in read.collect()) == sorted([f"message {i}" for i in range(35)] * copies)
