@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,19 @@ from pyspark.sql import functions as F
 RAW_SAMPLE_ROWS = 1000
 
 
+@contextmanager
+def open_writers(spark: SparkSession, folders: int) -> Iterator[None]:
+    """A task of a partitioned write keeps so many folders' files open at a time, instead of sorting its rows by folder
+    first; for text files, whose writers hold next to nothing. A task with more folders sorts the rest."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(folders))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staging_folder(base: str, run: str) -> str:
     """Beside the years of a table, under a name that readers of the table skip."""
     return f"{base}/_run-{run}"

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from emberlake.plans import history, profiles
+from emberlake.plans import history, profiles, registry
 from emberlake.schemas import CANONICAL, FEATURE_COLUMNS, RAW_ARCHIVE, RAW_NRT
 from emberlake.sinks import tables
 from emberlake.sources import files
@@ -167,3 +168,17 @@ def test_year_is_derived_when_not_stored(spark, tmp_path):
 
 def test_canonical_contract():
     assert CANONICAL.names[:15] == RAW_ARCHIVE.names and len(FEATURE_COLUMNS) == 27
+
+
+def test_year_folders_are_written_without_sorting_a_year(spark, sf_dir, tmp_path, monkeypatch):
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.csv
+    before = spark.conf.get(name)
+
+    def csv(self, *args, **options):
+        seen.append(int(spark.conf.get(name)))
+        return write(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", csv)
+    registry.write_year_folders(spark, sf_dir, str(tmp_path / "years"), one_file=True)
+    assert seen == [len(registry.FIXTURE_YEARS)] * 2 and spark.conf.get(name) == before
+    assert sorted(len(list(p.glob("fire_archive*.csv"))) for p in (tmp_path / "years").glob("source_year=*")) == [1] * 7
