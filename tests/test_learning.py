@@ -2,6 +2,7 @@ import functools
 import json
 import math
 import random
+import threading
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -167,3 +168,23 @@ def test_scoring_query_tells_wrong_predictions(spark, sf_dir, monkeypatch, wrong
             "* EXCEPT (predicted_frp)", f"{wrong} AS predicted_frp"))
     found = registry.score_fire_size(spark, sf_dir)
     assert found.count() > 0 and found.where("predicted").isEmpty() == bool(wrong)
+
+
+def test_partitions_for_fitting_go_with_the_rows(spark, monkeypatch):
+    """A learner's pass reads a whole partition in one task, so few input partitions must not stay few."""
+    monkeypatch.setattr(training, "PARTITION_ROWS", 10)
+    df = spark.range(200).select(F.lit(1.0).alias("frp")).coalesce(1)
+    same = type("Same", (), {"transform": lambda self, rows: rows.withColumn("features", F.lit(0))})()
+    held = training._assembled(same, {"train": df}, {"train": 200}, "frp")
+    try:
+        assert held["train"].rdd.getNumPartitions() == 20 and held["train"].count() == 200
+        assert not held["train"].storageLevel.useMemory and held["train"].storageLevel.useDisk
+    finally:
+        training._release(held)
+
+
+def test_fits_go_side_by_side_while_their_rows_are_few(spark):
+    assert [training.lanes(n, 3) for n in (0, 1_000_000, 2_000_000, 30_000_000)] == [3, 3, 2, 1]
+    both = threading.Barrier(2, timeout=60)
+    assert training.side_by_side(spark, [lambda: (both.wait(), spark.range(3).count())[1], lambda: (both.wait(), 4)[1]], 2) == [3, 4]
+    assert training.side_by_side(spark, [lambda: 1, lambda: 2], 1) == [1, 2]
