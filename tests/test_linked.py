@@ -91,6 +91,14 @@ def test_nearest_reading_copies_no_detection(spark):
     assert copying and not any(re.search(r"\bat#", line) or re.search(r"[\[ ]latitude#", line) for line in copying)
 
 
+def test_nearest_reading_divides_many_detections(spark):
+    fires, readings = (spark.createDataFrame(rows, kind) for rows, kind in zip(crowd(7, 200, 60), (FIRE, READING)))
+    settings = EnrichSettings(rows_per_task=10)
+    divided = nearest_reading(fires, readings, settings, detections=200)
+    assert "block_y" in plan_of(divided) and re.search(r"hashpartitioning\(block_y#.*, 20\)", plan_of(divided))
+    assert sorted(map(str, divided.collect())) == sorted(map(str, nearest_reading(fires, readings, settings).collect()))
+
+
 def test_nearest_reading_with_repeated_detections(spark):
     fires, readings = crowd(6, 12, 40)
     twice = nearest_reading(spark.createDataFrame(fires * 3, FIRE), spark.createDataFrame(readings + readings[:9], READING))
