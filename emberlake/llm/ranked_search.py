@@ -28,23 +28,27 @@ from emberlake.llm.shingles import text_slices, word_hashes
 #: ASCII bytes outside digits and letters end a term; all bytes of other characters belong to one.
 BREAKS = np.zeros(256, dtype=bool)
 BREAKS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+#: Hashing takes some 50 bytes of memory for each byte of a slice.
+SLICE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
 class SearchSettings:
-    """``top``: results a query. ``shard_bytes`` and ``shard_rows``: a shard ends with the row that reaches either.
-    ``block_postings``: postings that are decompressed together. ``query_block``: queries that one task runs on a shard."""
+    """``top``: results a query. ``shard_bytes`` and ``shard_rows``: a shard ends with the row that reaches either; building
+    one takes some 40 bytes of memory for each of its text. ``block_postings``: postings that are decompressed together.
+    ``query_block``: queries that one task runs on a shard. ``batch_terms``: terms that a task hands over together."""
 
     top: int = 10
-    shard_bytes: int = 16_000_000
+    shard_bytes: int = 8_000_000
     shard_rows: int = 65_536
     block_postings: int = 128
     query_block: int = 1_000
+    batch_terms: int = 32_768
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, hashes of the terms, where each row's terms begin) of a slice of rows."""
-    for first, data, offsets in text_slices(column):
+    for first, data, offsets in text_slices(column, SLICE_BYTES):
         yield first, *word_hashes(data, offsets, BREAKS)
 
 
@@ -59,10 +63,11 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Non-negative integers as seven bits a byte, lowest first, with the top bit where more follow; and the first byte of each."""
-    width = np.ones(len(values), dtype=np.int64)
+    width, most = np.ones(len(values), dtype=np.int8), int(values.max(initial=0))
     for bits in range(7, 63, 7):
-        width += values >= (1 << bits)
-    starts = np.cumsum(width) - width
+        if most >> bits:
+            width += values >= (1 << bits)
+    starts = np.cumsum(width, dtype=np.int64) - width
     out = np.zeros(int(width.sum()), dtype=np.uint8)
     for j in range(int(width.max(initial=0))):
         more = width > j
@@ -94,28 +99,33 @@ def _shard(name: str, texts: list[pa.Array], ids: pa.Array, held: int, total: in
         for _, terms, bounds in _terms(column):
             n = np.diff(bounds)
             hashes.append(terms)
-            owners.append(np.repeat(np.arange(row, row + len(n)), n))
+            owners.append(np.repeat(np.arange(row, row + len(n), dtype=np.int32), n))
             lengths.append(n)
             row += len(n)
     lengths = np.concatenate(lengths).astype(np.int64)
     # documents are numbered by ascending id, those without one last, so that ties go by number
     order = np.array(pa.compute.sort_indices(ids, null_placement="at_end"))
-    number = np.empty(row, dtype=np.int64)
-    number[order] = np.arange(row)
+    number = np.empty(row, dtype=np.int32)
+    number[order] = np.arange(row, dtype=np.int32)
     m = 10 + (90 * lengths[order] * held) // total
     nothing = [pa.array([None], x) for x in (pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * 3, pa.binary())]
     whole = lambda x, kind: pa.array([x], pa.list_(kind))
     yield pa.RecordBatch.from_arrays(
         [pa.array([name]), *nothing, whole(ids.take(pa.array(order)).to_pylist(), pa.int64()), whole(m, pa.int64())], _NAMES)
 
-    term, doc = np.concatenate(hashes), number[np.concatenate(owners)]
+    term, doc = np.concatenate(hashes), np.concatenate(owners)
+    hashes.clear()
+    owners.clear()
     if not len(term):
         return
+    doc = number[doc]
     sort = np.lexsort((doc, term))
     term, doc = term[sort], doc[sort]
+    del sort
     first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])))
     tf = np.diff(np.append(first, len(term)))
-    term, doc = term[first], doc[first]
+    term, doc = term[first], doc[first].astype(np.int64)
+    del first
     lists = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
     holders = np.diff(np.append(lists, len(term)))
     place = np.arange(len(term)) - np.repeat(lists, holders)
@@ -124,19 +134,23 @@ def _shard(name: str, texts: list[pa.Array], ids: pa.Array, held: int, total: in
     gap = doc - np.append(-1, doc[:-1])
     gap[lists] = doc[lists] + 1
     data, starts = pack(np.column_stack([gap, tf]).reshape(-1))
-    starts = starts[::2]
+    starts = starts[::2].copy()
     most = np.maximum.reduceat(_impact(tf, m[doc]), blocks)
+    del gap, tf, place
     of_list = np.searchsorted(blocks, lists)
     begin = starts[lists]
     bounds = pa.array(np.append(of_list, len(blocks)), pa.int32())
     table = lambda x: pa.ListArray.from_arrays(bounds, pa.array(x, pa.int32()))
     n = len(lists)
-    yield pa.RecordBatch.from_arrays([
+    rows = pa.RecordBatch.from_arrays([
         pa.array([name] * n), pa.array(term[lists].view(np.int64)), pa.array(holders, pa.int64()),
         pa.array(np.maximum.reduceat(most, of_list), pa.int64()), table(doc[ends]), table(most),
         table(starts[blocks] - np.repeat(begin, np.diff(np.append(of_list, len(blocks))))),
         pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.append(begin, len(data)).astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())]),
         pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))], _NAMES)
+    del term, doc, data, starts
+    for at in range(0, n, settings.batch_terms):
+        yield rows.slice(at, settings.batch_terms)
 
 
 def build_index(docs: DataFrame, held: int, total: int, settings: SearchSettings = SearchSettings()) -> DataFrame:
