@@ -13,7 +13,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -45,9 +45,11 @@ _NEWER = regex.compile(f"[{_NEWER_CLASS}]")
 _PIECE_WITH_NEWER = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_NEWER_CLASS}]]+|[\p{{N}}--[{_NEWER_CLASS}]]|(?:[^\s\p{{L}}\p{{N}}]|[{_NEWER_CLASS}])+")
 #: Characters that Python's own split takes as blank and the normalizer doesn't.
 _ODD_BLANK = re.compile("[\x1c-\x1f]")
-#: What a worker keeps between batches: words, their characters in all, and answers about pairs of tokens; some 60 MB.
-CACHED_WORDS = 150_000
-CACHED_CHARACTERS = 3_000_000
+#: Below this character Python's letters are the library's, and nothing is composed.
+_PLAIN_BELOW = "\u0180"
+#: What a worker keeps between batches, twice over: pieces and their characters in all. And answers about pairs of tokens.
+CACHED_PIECES = 100_000
+CACHED_CHARACTERS = 2_000_000
 CACHED_PAIRS = 300_000
 
 
@@ -59,15 +61,18 @@ def _byte_characters() -> dict[int, str]:
 
 
 def _pieces(word: str) -> list[str]:
+    if max(word) < _PLAIN_BELOW:
+        word = word.lower()
+        return [word] if word.isalpha() else _PIECE.findall(word)
     word = _normal(word)
     return (_PIECE if word.isascii() or not _NEWER.search(word) else _PIECE_WITH_NEWER).findall(word)
 
 
 def _reach(tokens: dict[str, str]) -> dict[str, int]:
-    """The longest token for each pair of last characters."""
+    """The longest token for each three last characters; where there is none, tokens have two at most."""
     reach: dict[str, int] = {}
     for token in tokens:
-        reach[token[-2:]] = max(len(token), reach.get(token[-2:], 1))
+        reach[token[-3:]] = max(len(token), reach.get(token[-3:], 2))
     return reach
 
 
@@ -87,7 +92,10 @@ class TrieBpe:
         self.names = {i: t for t, i in (self.vocab | self.added).items()}
         self.fits: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
         self.held = 0
+        self.marks = {t: (int(i).to_bytes(4, "little"), t) for t, i in self.added.items()}
+        self.ids = {t: int(i).to_bytes(4, "little") for t, i in self.vocab.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
 
     @classmethod
@@ -119,55 +127,82 @@ class TrieBpe:
             answer = self.fits[left, right] = self.merge(symbols) == ([left, right] if left else [right])
         return answer
 
-    def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """(word, tokens) of distinct words of byte characters, depth first through their trie."""
+        inner, final, fits, inner_reach, final_reach = self.inner, self.final, self.fits, self.inner_reach, self.final_reach
         last: list[str] = [""]  # last[i]: last token of the current word's first i characters
         path = ""
         for word in sorted(words):
             depth = 0
-            while depth < len(path) and depth < len(word) and path[depth] == word[depth]:
+            for one, other in zip(path, word):
+                if one != other:
+                    break
                 depth += 1
             del last[depth + 1:]
-            for end in range(len(last), len(word)):
-                for start in range(max(0, end - self.inner_reach.get(word[max(0, end - 2):end], 1)), end):
-                    token = self.inner.get(word[start:end])
-                    if token is not None and self.stands(last[start], token):
-                        last.append(token)
-                        break
+            size = len(word)
+            for end in range(len(last), size):
+                start = end - inner_reach.get(word[end - 3 if end > 3 else 0:end], 2)
+                for start in range(start if start > 0 else 0, end):
+                    token = inner.get(word[start:end])
+                    if token is not None:
+                        fit = fits.get((last[start], token))
+                        if fit or fit is None and self.stands(last[start], token):
+                            last.append(token)
+                            break
             path = word[:len(last) - 1]
-            for start in range(max(0, len(word) - self.final_reach.get(word[-2:], 1)), len(word)):
-                token = self.final.get(word[start:])
-                if token is not None and self.stands(last[start], token):
-                    break
+            for start in range(max(0, size - final_reach.get(word[-3:], 2)), size):
+                token = final.get(word[start:])
+                if token is not None:
+                    fit = fits.get((last[start], token))
+                    if fit or fit is None and self.stands(last[start], token):
+                        break
             tokens = [token]
             while start:
-                tokens.append(last[start])
-                start -= len(last[start])
-            yield word, tokens[::-1]
-
-    def learn(self, raw: set[str]) -> None:
-        """Encodes the raw words that are not known yet: ids as little-endian bytes, and tokens joined by blanks."""
-        if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARACTERS:
-            self.known.clear()
-            self.held = 0
+                token = last[start]
+                tokens.append(token)
+                start -= len(token)
+            tokens.reverse()
+            yield word, tokens
+
+    def learn(self, raw: set[str]) -> dict[str, tuple[bytes, str]]:
+        """For each raw word its ids as little-endian bytes, and its tokens joined by blanks.
+
+        Pieces are kept: words differ by capitals and marks more often than in their letters. Once enough are known, those
+        that have not been met since the time before are dropped.
+        """
+        if len(self.known) > CACHED_PIECES or self.held > CACHED_CHARACTERS:
+            self.older, self.known, self.held = self.known, {}, 0
         if len(self.fits) > CACHED_PAIRS:
             self.fits.clear()
-        pieces = {w: [x.encode() for x in _pieces(w)] for w in raw if w not in self.known}
-        spelled = {p: "".join(map(self.letters.__getitem__, p)) for ps in pieces.values() for p in ps}
-        tokens = dict(self.walk(list(set(spelled.values()))))
-        self.held += sum(map(len, pieces))
-        for word, parts in pieces.items():
-            found = [t for p in parts for t in tokens[spelled[p]]]
-            self.known[word] = (np.array([self.vocab[t] for t in found], dtype="<u4").tobytes(), " ".join(found))
+        known, older = self.known, self.older
+        split = {w: _pieces(w) for w in raw}
+        spelled = {}
+        for piece in {p for parts in split.values() for p in parts}.difference(known):
+            answer = older.get(piece)
+            if answer is None:
+                spelled[piece.encode().decode("latin-1").translate(self.letters)] = piece
+            else:
+                known[piece] = answer
+            self.held += len(piece)
+        ids = self.ids.__getitem__
+        for word, tokens in self.walk(spelled):
+            known[spelled[word]] = (b"".join(map(ids, tokens)), " ".join(tokens))
+        answers = {}
+        for word, parts in split.items():
+            if len(parts) == 1:
+                answers[word] = known[parts[0]]
+            else:
+                found = [known[p] for p in parts]
+                answers[word] = (b"".join([i for i, _ in found]), " ".join([shown for _, shown in found]))
+        return answers
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian unsigned 32-bit integers, and what they decode to."""
         split = [self._raw_words(text) for text in texts]
-        self.learn({w for words in split for w in words if w not in self.added})
-        marks = {t: (int(i).to_bytes(4, "little"), t) for t, i in self.added.items()}
+        found = self.learn(set().union(*split).difference(self.added)) | self.marks
         for words in split:
-            found = [marks.get(w) or self.known[w] for w in words]
-            yield b"".join(ids for ids, _ in found), " ".join(shown for ids, shown in found if ids)
+            answers = [found[w] for w in words]
+            yield b"".join([ids for ids, _ in answers]), " ".join([shown for ids, shown in answers if ids])
 
     def _raw_words(self, text: str) -> list[str]:
         if self.split is not None and self.split.search(text):
@@ -200,7 +235,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     Encodes every whole text as the tokenizers library does with the file ``vocabulary``, which must be readable on the
     executors, without added special tokens; strings of special tokens inside a text are these tokens. Null texts count
     as empty and have no ids. Rows come back as often as they came. What a worker keeps between batches is bounded by
-    ``CACHED_WORDS``, ``CACHED_CHARACTERS`` and ``CACHED_PAIRS`` besides one run of texts, whatever the texts hold. An empty
+    ``CACHED_PIECES``, ``CACHED_CHARACTERS`` and ``CACHED_PAIRS`` besides one run of texts, whatever the texts hold. An empty
     table gives an empty table.
     """
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
