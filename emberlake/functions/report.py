@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 
 def reported_average(column: Column, digits: int = 2) -> Column:
+    return reported(F.avg(column), digits)
+
+
+def reported(average: Column, digits: int = 2) -> Column:
     """Reports print an average of exactly zero as missing."""
-    average = F.avg(column)
     return F.when(average != 0, F.round(average, digits))
 
 
