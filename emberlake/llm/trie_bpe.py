@@ -226,7 +226,7 @@ def _loaded(path: str) -> TrieBpe:
     return TrieBpe.from_file(path)
 
 
-SLICE_CHARACTERS = 8_000_000
+SLICE_CHARACTERS = 2_000_000
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:

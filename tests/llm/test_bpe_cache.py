@@ -1,6 +1,7 @@
 """What a worker of the BPE encoder keeps from one run of texts to the next."""
 
 import public_tokenizers
+import pyarrow as pa
 
 from emberlake.llm import trie_bpe
 
@@ -21,3 +22,9 @@ def test_pieces_of_known_words_are_not_walked_again(monkeypatch):
     for a in "abcdefgh":
         list(model.encode_batch([" ".join(f"virelomp{a}{b}" for b in "stuvwxyzabcdefg")]))
     assert len(model.known) + len(model.older) <= 4 * 15
+
+
+def test_words_are_held_for_a_few_million_characters_at_most():
+    runs = list(trie_bpe._slices(pa.array([None, "a" * 700_000, "b c " * 250_000] * 4)))
+    assert [len(t) for run in runs for t in run] == [0, 700_000, 1_000_000] * 4
+    assert max(sum(map(len, run)) for run in runs) < 4_000_000
