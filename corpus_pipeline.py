@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the rows that links connect one stays, that with the smallest doc_id (rows without one last), then the smallest
     hash. Rows of one doc_id whose texts nothing links all stay, and so do rows without words."""
-    return jaccard_join.first_of_each_group(docs)
+    return jaccard_join.first_of_each_group(docs, jaccard_join.JoinSettings(counts=3))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

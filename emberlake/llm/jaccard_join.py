@@ -41,7 +41,8 @@ class JoinSettings:
     """``percent``: least Jaccard likeness of a link. ``common_share``: share of all texts that makes a shingle hot.
     ``bucket_shingles``: shingles counted in one task. ``leaf_shingles``: size of a cell that one task divides and joins.
     ``pivots``: per larger cell and round. ``rounds``: after so many, members of such a cell that share one of their
-    rarest shingles within it are compared over the cluster, so that the result is exact in any case."""
+    rarest shingles within it are compared over the cluster, so that the result is exact in any case. ``counts``: passes in
+    which shingles are counted, each of which reads the texts and shuffles its share of the buckets."""
 
     percent: int = 75
     common_share: float = 0.001
@@ -49,6 +50,7 @@ class JoinSettings:
     leaf_shingles: int = 4_000_000
     pivots: int = 4
     rounds: int = 6
+    counts: int = 1
 
 
 #: Sets farther than this from all pivots are at home outside of their regions.
@@ -90,8 +92,9 @@ def _survey(share: float, at: bool = False) -> Callable:
 _BUCKETED = "bucket long, set_ids binary, lengths binary, shingles binary, set_id long, n_common long, prefix array<long>"
 
 
-def _deal(hot: np.ndarray, buckets: int, percent: int) -> Callable:
-    """Shingles that are not hot, dealt to buckets by hash; and for every set how many of its shingles are hot.
+def _deal(hot: np.ndarray, buckets: int, percent: int, nth: int = 0, passes: int = 1) -> Callable:
+    """Shingles that are not hot, dealt to buckets by hash, of which this pass takes every ``passes``-th; and, in the first
+    pass, for every set how many of its shingles are hot.
 
     Rows about sets go to buckets of their own, below zero. A set whose first shingles reach into its hot ones gets
     these as ``prefix`` right here.
@@ -107,15 +110,21 @@ def _deal(hot: np.ndarray, buckets: int, percent: int) -> Callable:
             names = np.array(list(distinct), dtype=np.int64)
             lengths = np.array([len(x) for x in distinct.values()])
             values, owner = np.concatenate(list(distinct.values())), np.repeat(np.arange(len(names)), lengths)
+            if passes > 1 and nth:
+                mine = values % np.uint64(buckets) % np.uint64(passes) == nth
+                values, owner = values[mine], owner[mine]
             common = np.isin(values, hot, kind="sort") if len(hot) else np.zeros(len(values), dtype=bool)
-            n_common = np.bincount(owner[common], minlength=len(names))
-            prefixes: list = [None] * len(names)
-            for i in np.flatnonzero([prefix_length(int(n), percent) > n - c for n, c in zip(lengths, n_common)]):
-                own = values[(owner == i) & common]
-                need = prefix_length(int(lengths[i]), percent) - (lengths[i] - n_common[i])
-                prefixes[i] = own[:need].view(np.int64).tolist()
-            yield _rows(pa.array(-1 - names % buckets), *[pa.nulls(len(names), pa.binary())] * 3, pa.array(names),
-                        pa.array(n_common, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())))
+            if nth == 0:
+                n_common = np.bincount(owner[common], minlength=len(names))
+                prefixes: list = [None] * len(names)
+                for i in np.flatnonzero([prefix_length(int(n), percent) > n - c for n, c in zip(lengths, n_common)]):
+                    own = values[(owner == i) & common]
+                    need = prefix_length(int(lengths[i]), percent) - (lengths[i] - n_common[i])
+                    prefixes[i] = own[:need].view(np.int64).tolist()
+                yield _rows(pa.array(-1 - names % buckets), *[pa.nulls(len(names), pa.binary())] * 3, pa.array(names),
+                            pa.array(n_common, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())))
+            if passes > 1 and not nth:
+                common |= values % np.uint64(buckets) % np.uint64(passes) != 0
             values, owner = values[~common], owner[~common]
             bucket = (values % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -396,8 +405,9 @@ def _groups(texts: DataFrame, surveyed: DataFrame, settings: JoinSettings) -> Da
            .where(F.col("texts") >= max(32, settings.common_share * rows)).select("shingle").toArrow())
     hot = np.sort(hot.column("shingle").to_numpy().astype(np.int64).view(np.uint64))
     buckets = rows_per_partition(shingles, settings.bucket_shingles)
-    found = store_once(texts.mapInArrow(_deal(hot, buckets, percent), _BUCKETED).groupBy("bucket")
-                       .applyInArrow(_count, _FOUND), "shared")
+    found = reduce(DataFrame.unionByName, [
+        store_once(texts.mapInArrow(_deal(hot, buckets, percent, nth, settings.counts), _BUCKETED).groupBy("bucket")
+                   .applyInArrow(_count, _FOUND), "shared") for nth in range(settings.counts)])
     common = found.where("n_common IS NOT NULL").groupBy("set_id").agg(
         F.first("n_common").alias("n_common"), F.first("common").alias("common"))
     shared = found.where("region IS NOT NULL").select("set_id", "region", "holders")

@@ -9,6 +9,7 @@ both. Parts meet by an interval join on the text and on bins as wide as the scop
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,15 +63,16 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, at) and for each kind the lengths of its matches and of what lies between, stored.
+def measure(docs: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, text_key, at) and for each kind the lengths of its matches and of what lies between, stored; ``keep``:
+    further columns behind them.
 
-    ``at`` names a row. This is the only pass over the texts, which are neither shuffled nor stored.
+    ``at`` names a row. This is the only pass over the texts, which are neither shuffled nor, unless kept, stored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
     return store_once(rows.select("doc_id", text_key().alias("text_key"), F.monotonically_increasing_id().alias("at"),
-                                  *[_pieces(text, kind).alias(kind) for kind in PATTERNS]), "measured")
+                                  *[_pieces(text, kind).alias(kind) for kind in PATTERNS], *keep), "measured")
 
 
 def find_parts(measured: DataFrame) -> DataFrame:
@@ -118,6 +120,20 @@ def link_parts(found: DataFrame, settings: ScanSettings = ScanSettings()) -> Dat
             .join(covering, met & (F.col("s") <= F.col("start")) & (F.col("end") <= F.col("e")), "left_anti").drop("bin"))
 
 
+def _spans(measured: DataFrame, settings: ScanSettings) -> DataFrame:
+    """(t, found): the unordered spans of each measured text that has any, by the ``at`` of its row."""
+    parts = store_once(find_parts(measured), "parts")
+    return (parts.where(F.col("kind").isin(BASE)).select("at", "kind", "start", "end").unionByName(link_parts(parts, settings))
+            .groupBy(F.col("at").alias("t")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("found")))
+
+
+def _may_have_spans() -> Column:
+    """Of a measured row. Base parts need a value of some length, and without one weak parts need another weak one: endpoints
+    need what the others are."""
+    long_enough = [F.exists(kind, lambda p: p["value"] >= LEAST_VALUE) for kind in BASE]
+    return F.coalesce(reduce(Column.__or__, long_enough) | ((F.size("ident") > 0) & (F.size("blob") > 0)), F.lit(True))
+
+
 def scan(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked, found) for every row of ``docs`` (doc_id, text).
 
@@ -127,10 +143,8 @@ def scan(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
     with weak parts take part in the join. Rows are told apart by a number that their task gives them before they are stored.
     """
     held = measure(docs)
-    parts = store_once(find_parts(held), "parts")
+    spans = _spans(held, settings)
     base = F.filter("found", lambda s: s["kind"].isin(BASE))
-    spans = (parts.where(F.col("kind").isin(BASE)).select("at", "kind", "start", "end").unionByName(link_parts(parts, settings))
-             .groupBy(F.col("at").alias("t")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("found")))
     found = held.select("doc_id", "text_key", "at").join(spans, F.col("at") == F.col("t"), "left").withColumn(
         "found", _ordered(F.coalesce("found", F.array().cast("array<struct<kind:string,start:int,end:int>>")))).withColumn("base", base)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -141,11 +155,12 @@ def scan(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
 def redact(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFrame:
     """``docs`` with every found span replaced by ``[kind]``; overlapping spans are one, named after the first.
 
-    ``n_chars``, if there is such a column, is counted anew for changed texts. Columns and their order stay.
+    ``n_chars``, if there is such a column, is counted anew for changed texts. Columns and their order stay. Rows are stored
+    with their lengths; those that can have no span are not shuffled.
     """
-    spans = (scan(docs, settings).where(F.size("found") > 0).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "found").distinct())
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", text_key())
-    joined = rows.join(spans, (F.col("text_key") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    held = measure(docs.withColumn("row", F.struct(*docs.columns)), "row")
+    joined = (held.where(_may_have_spans()).select("row", "at", F.col("row")["text"].cast("string").alias("text"))
+              .join(_spans(held, settings), F.col("at") == F.col("t"), "left").withColumn("found", _ordered(F.col("found"))))
     walked = F.aggregate("found", F.struct(F.lit("").alias("text"), F.lit(0).alias("at")), lambda done, s: F.struct(
         F.when(s["start"] >= done["at"], F.concat(
             done["text"], F.substring(F.col("text"), done["at"] + 1, s["start"] - done["at"]), F.lit("["), s["kind"], F.lit("]"))).otherwise(done["text"]).alias("text"),
@@ -153,4 +168,5 @@ def redact(docs: DataFrame, settings: ScanSettings = ScanSettings()) -> DataFram
     done = joined.withColumn("walked", F.when(F.col("found").isNotNull(), walked)).withColumn(
         "clean", F.concat("walked.text", F.substring(F.col("text"), F.col("walked.at") + 1, F.lit(2**31 - 1))))
     new = {"text": F.coalesce("clean", "text"), "n_chars": F.when(F.col("clean").isNotNull(), F.length("clean")).otherwise(F.col("row")["n_chars"]) if "n_chars" in docs.columns else None}
-    return done.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
+    changed = done.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
+    return held.where(~_may_have_spans()).select("row.*").unionByName(changed)
