@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from emberlake.llm.common import rows_per_partition, store_once
 from emberlake.llm.components import connected_components
 from emberlake.llm.shingles import prefix_length, set_digest, shingle_sets
+from emberlake.session import discarding
 
 
 @dataclass(frozen=True)
@@ -380,17 +381,20 @@ def first_of_each_group(docs: DataFrame, settings: JoinSettings = JoinSettings()
     smallest doc_id, nulls last, then the smallest hash of the row. Rows without words link with nothing and all stay.
 
     Texts are read once more but not shuffled: a row is known by its doc_id and the hash of its text. Equal rows are told
-    apart by a number that their task gives them, after the table is stored.
+    apart by a number that their task gives them, after the table is stored. What else is stored on the way is deleted.
     """
     held = store_once(docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                                   F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("at")), "grouped")
-    texts = held.select("doc_id", "text", "at")
-    surveyed = store_once(texts.select("doc_id", "text", "at").mapInArrow(_survey(settings.common_share, at=True), _SURVEY + ", at long"), "survey")
-    reached = _groups(texts.select("doc_id", "text"), surveyed.drop("at"), settings).select(F.col("set_id").alias("of"), "label")
-    rows = surveyed.where("set_id IS NOT NULL")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("set_id", "at").alias("h"), "at")
-    grouped = rows.where("n_shingles > 0").join(reached, rows["set_id"] == F.col("of")).groupBy("label").agg(F.min(order).alias("first"))
-    kept = grouped.select(F.col("first.at").alias("kept_at")).unionByName(rows.where("n_shingles = 0").select(F.col("at").alias("kept_at")))
+    with discarding(docs.sparkSession) as written:
+        texts = held.select("doc_id", "text", "at")
+        surveyed = store_once(texts.select("doc_id", "text", "at").mapInArrow(_survey(settings.common_share, at=True), _SURVEY + ", at long"), "survey")
+        reached = _groups(texts.select("doc_id", "text"), surveyed.drop("at"), settings).select(F.col("set_id").alias("of"), "label")
+        rows = surveyed.where("set_id IS NOT NULL")
+        order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("set_id", "at").alias("h"), "at")
+        grouped = rows.where("n_shingles > 0").join(reached, rows["set_id"] == F.col("of")).groupBy("label").agg(F.min(order).alias("first"))
+        kept = grouped.select(F.col("first.at").alias("kept_at")).unionByName(rows.where("n_shingles = 0").select(F.col("at").alias("kept_at")))
+        kept = store_once(kept, "kept")
+        written.pop()
     return held.join(kept, held["at"] == kept["kept_at"], "left_semi").select("row.*")
 
 

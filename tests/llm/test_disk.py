@@ -1,12 +1,13 @@
 """What stays on executors' disks while a corpus is worked on."""
 
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from conftest import plan_of
 from emberlake.llm import jaccard_join, secret_scan
-from emberlake.session import SHUFFLE_CLEANUP, store_once
+from emberlake.session import SHUFFLE_CLEANUP, shared_dir, store_once
 
 
 def shuffle_files(spark):
@@ -45,3 +46,12 @@ def test_texts_without_secrets_are_not_shuffled_when_others_are_redacted(spark):
     found = {r["row"]: (r["doc_id"], r["text"]) for r in redacted.collect()}
     want = dict(enumerate(texts)) | {3: "[assign]", 4: "[ident] [blob]", 7: "https://a.example [access] x"}
     assert {k: v for k, (_, v) in found.items()} == want and all(d == k % 3 for k, (d, _) in found.items())
+
+
+def test_finding_the_first_of_each_group_leaves_rows_and_choice_only(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{j + i // 2}" for j in range(40))) for i in range(6)], "doc_id long, text string")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    kept = jaccard_join.first_of_each_group(docs)
+    assert sorted(p.name.rsplit("-", 32)[0].split("-")[0] for p in set(folder.iterdir()) - before) == ["grouped", "kept"]
+    assert sorted(r.doc_id for r in kept.collect()) == [0]
