@@ -99,6 +99,15 @@ def test_nearest_reading_divides_many_detections(spark):
     assert sorted(map(str, divided.collect())) == sorted(map(str, nearest_reading(fires, readings, settings).collect()))
 
 
+def test_nearest_reading_broadcasts_no_table(spark):
+    """Rows whose files or shuffles are small once compressed look small enough for the driver, and are not."""
+    fires, readings = (spark.createDataFrame(rows, kind) for rows, kind in zip(crowd(8, 40, 40), (FIRE, READING)))
+    found = nearest_reading(fires, readings, detections=40)
+    found.collect()
+    joins = [line for line in plan_of(found).split("Initial Plan")[0].splitlines() if "Join" in line]
+    assert sum("SortMergeJoin" in line for line in joins) == 4 and not any("Inner" in line and "Broadcast" in line for line in joins)
+
+
 def test_nearest_reading_with_repeated_detections(spark):
     fires, readings = crowd(6, 12, 40)
     twice = nearest_reading(spark.createDataFrame(fires * 3, FIRE), spark.createDataFrame(readings + readings[:9], READING))
