@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from emberlake.operators.enrichment import READING_VALUES, EnrichSettings, nearest_reading
 from emberlake.plans import history, live
+from emberlake.plans import linked as plans_linked
 from emberlake.plans.registry import raw
 from emberlake.schemas import RAW_ARCHIVE, SERVING_KEY
 from emberlake.sinks import ledger
@@ -18,7 +19,7 @@ from emberlake.sinks.jdbc import Store
 from emberlake.sinks.tables import write_months
 from emberlake.sources.headers import read_by_header, with_year
 from emberlake.streaming import linked
-from emberlake.streaming.run import drain
+from emberlake.streaming.run import drain, state_on_disk
 
 START = datetime.datetime(2024, 5, 1)
 FIRE = "event_timestamp timestamp, latitude double, longitude double, frp double"
@@ -115,6 +116,29 @@ def test_nearest_reading_with_repeated_detections(spark):
     assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect() * 3))
 
 
+def test_dedup_stream_keeps_its_state_on_disk(spark, tmp_path):
+    """Without it the state of every key lies in executors' heaps, as .delta files beside the checkpoint tell."""
+    def drained(rows, name):
+        spark.createDataFrame(rows, FIRE).write.mode("append").parquet(str(tmp_path / "in"))
+        live = spark.readStream.schema(FIRE).parquet(str(tmp_path / "in"))
+        drain(linked.distinct_events(live).writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}-checkpoint")))
+        return {f.suffix for f in (tmp_path / f"{name}-checkpoint" / "state").rglob("*.*") if not f.name.startswith((".", "_"))}
+
+    provider, rows = "spark.sql.streaming.stateStore.providerClass", [(at(i), 1.0, float(i % 7), 2.0) for i in range(20)]
+    before = spark.conf.get(provider, None)
+    with state_on_disk(spark):
+        assert ".delta" not in drained(rows, "out") and ".changelog" in drained(rows[5:], "out")
+    assert spark.conf.get(provider, None) == before and ".delta" in drained(rows[:1], "other")
+    assert sorted(r.event_timestamp for r in spark.read.schema(FIRE).parquet(str(tmp_path / "out")).collect()) == [r[0] for r in rows]
+
+
+def test_dedup_query_asks_for_state_on_disk(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(plans_linked, "drain", lambda *w: seen.append(spark.conf.get("spark.sql.streaming.stateStore.providerClass")) or drain(*w))
+    assert plans_linked.stream_dedup(spark, sf_dir).count() > 0
+    assert len(seen) == plans_linked.SLICES and all("RocksDB" in s for s in seen)
+
+
 def test_recurrence_pairs_no_days_of_a_cell(spark):
     """One join only, that of the detections with their own cell and day."""
     fires = [(at(86400 * d), 1.01, 2.02, 1.0) for d in range(40)] * 2
